@@ -8,7 +8,6 @@ from incident_analytics.functions.times import (
     DAYPARTS_GREEK,
     daypart,
     hour_of_hhmm,
-    in_year,
     text_year,
     us_timestamp,
 )
@@ -23,7 +22,6 @@ __all__ = [
     "has_prefix",
     "haversine_km",
     "hour_of_hhmm",
-    "in_year",
     "is_degrees",
     "is_located",
     "pad",

@@ -22,17 +22,6 @@ def text_year(text: Column) -> Column:
     return F.substring(text, 7, 4)
 
 
-def in_year(timestamp: Column, year: int) -> Column:
-    """Whether a timestamp lies in ``year``.
-
-    A half-open range rather than ``year(..) == ..``, because ranges reach the Parquet
-    scan and skip row groups.
-    """
-    start = F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp")
-    end = F.lit(f"{year + 1:04d}-01-01 00:00:00").cast("timestamp")
-    return (timestamp >= start) & (timestamp < end)
-
-
 def hour_of_hhmm(hhmm: Column) -> Column:
     """Hour of a time written as HHMM text or number; null if unreadable."""
     return F.floor(F.trim(hhmm.cast("string")).try_cast("int") / 100).cast("int")

@@ -40,9 +40,10 @@ def top_k_per_group(
 def extreme_values(df: DataFrame, column: str, n: int = 3, side: str = "top") -> DataFrame:
     """The ``n`` highest or lowest distinct values of a column; null is no value.
 
-    Each partition contributes at most ``n`` rows (TakeOrderedAndProject).
+    Each partition contributes at most ``n`` rows (TakeOrderedAndProject). Null sorts last
+    and is dropped after the cut.
     """
     if side not in ("top", "bottom"):
         raise ValueError(f"side is 'top' or 'bottom', not {side!r}")
-    by = F.desc(column) if side == "top" else F.asc(column)
-    return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(by).limit(n)
+    by = F.desc_nulls_last(column) if side == "top" else F.asc_nulls_last(column)
+    return df.select(column).distinct().orderBy(by).limit(n).filter(F.col(column).isNotNull())

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.functions.text import DESCENT_LABELS, decode
-from incident_analytics.functions.times import in_year
-from incident_analytics.operators.joins import join_with
+from incident_analytics.operators.joins import fits_broadcast, join_with
 from incident_analytics.operators.lookups import keep_matching, one_per_key
 from incident_analytics.operators.ranking import extreme_values
 
@@ -17,17 +16,6 @@ from incident_analytics.operators.ranking import extreme_values
 _SHUFFLING = ("merge", "shuffle_hash", "shuffle_replicate_nl")
 
 
-def reported_in(incidents: DataFrame, year: int) -> DataFrame:
-    """Incidents reported in ``year``.
-
-    Uses the partition column ``date_rptd_year`` of a converted copy where there is one.
-    """
-    chosen = incidents.filter(in_year(F.col("date_rptd"), year))
-    if "date_rptd_year" in incidents.columns:
-        chosen = chosen.filter(F.col("date_rptd_year") == year)
-    return chosen
-
-
 def income_profile(
     incidents: DataFrame,
     revgeo: DataFrame,
@@ -41,14 +29,21 @@ def income_profile(
     taken from it by `victims_of_side`; persist it to read the incidents once for both.
 
     Where the lookups can be broadcast the incidents are joined as they are read and only
-    the counts are shuffled. The strategies that shuffle count per coordinate and descent
-    before, so that a coordinate with a large part of all rows shrinks to a few.
+    the counts are shuffled; ``broadcast`` measures them first and continues as ``merge`` if
+    they are too big. The strategies that shuffle count per coordinate and descent before, so
+    that a coordinate with a large part of all rows shrinks to a few.
     """
-    known = reported_in(incidents, year).filter(F.col("vict_descent").isNotNull())
+    zips = one_per_key(revgeo, ["lat", "lon"], "zip")
+    if strategy == "broadcast":
+        small = (fits_broadcast(revgeo) or fits_broadcast(zips)) and fits_broadcast(income)
+        zips, income = (F.broadcast(zips), F.broadcast(income)) if small else (zips, income)
+        strategy = "auto" if small else "merge"
+    known = incidents.filter(
+        (F.col("rptd_year") == year) & F.col("vict_descent").isNotNull()
+    )
     victims = known.select("lat", "lon", "vict_descent", F.lit(1).cast("bigint").alias("victims"))
     if strategy in _SHUFFLING:
         victims = known.groupBy("lat", "lon", "vict_descent").agg(F.count("*").alias("victims"))
-    zips = one_per_key(revgeo, ["lat", "lon"], "zip")
     placed = join_with(victims, zips, ["lat", "lon"], strategy=strategy)
     valued = join_with(placed, income, "zip", strategy=strategy)
     profile = valued.groupBy("zip", "median_income", "vict_descent").agg(
@@ -71,10 +66,16 @@ def victims_of_side(
     Incomes are those of ZIP codes with incidents. Several ZIP codes may share one, so more
     than ``n`` ZIP codes may be in.
     """
-    incomes = extreme_values(profile, "median_income", n, side)
-    # n values, so this one is always small enough to broadcast.
-    zips = profile.join(F.broadcast(incomes), "median_income", "left_semi").select("zip").distinct()
-    chosen = keep_matching(profile, zips, "zip", strategy)
+    incomes = extreme_values(profile, "median_income", n, side).toDF("extreme")
+    # n values, so always small enough to broadcast. Null-safe equality, although no value is
+    # null, because Spark would push "not null" into this use of the profile only and then
+    # compute it twice.
+    has_extreme = profile["median_income"].eqNullSafe(F.col("extreme"))
+    matched = profile.join(F.broadcast(incomes), has_extreme, "left_semi")
+    zips = matched.select("zip").distinct()
+    # For "broadcast" Spark decides when it knows the size of the selection. Measuring it here
+    # would read all incidents once more.
+    chosen = keep_matching(profile, zips, "zip", "auto" if strategy == "broadcast" else strategy)
     totals = chosen.groupBy("vict_descent").agg(F.sum("victims").alias("total_victims"))
     labelled = totals.select(
         decode(F.col("vict_descent"), labels).alias("victim_descent"), "total_victims"

@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incident_analytics.functions.money import currency_to_int
-from incident_analytics.functions.times import us_timestamp
+from incident_analytics.functions.times import text_year, us_timestamp
 
 
 @dataclass(frozen=True)
 class Field:
     """One column: its header in the raw file, our name for it, and its kind.
 
-    ``kind`` is a Spark type name, or one of ``us_timestamp``, ``currency`` (text layouts
-    that need parsing) and ``trimmed`` (text without outer blanks).
+    ``kind`` is a Spark type name, or one of ``us_timestamp``, ``us_year``, ``currency``
+    (text layouts that need parsing) and ``trimmed`` (text without outer blanks).
     """
 
     raw: str
@@ -34,6 +34,7 @@ class Field:
 INCIDENTS = (
     Field("DR_NO", "dr_no", "bigint"),
     Field("Date Rptd", "date_rptd", "us_timestamp"),
+    Field("Date Rptd", "rptd_year", "us_year"),
     Field("DATE OCC", "date_occ", "us_timestamp"),
     Field("TIME OCC", "time_occ", "string"),
     Field("AREA", "area", "int"),
@@ -71,6 +72,10 @@ def _typed(field: Field, source: T.StructField) -> Column:
     is_text = isinstance(source.dataType, T.StringType)
     if field.kind == "us_timestamp":
         return us_timestamp(column) if is_text else column.cast("timestamp")
+    if field.kind == "us_year":
+        if is_text:
+            return text_year(column).try_cast("int")
+        return column.cast("int") if source.name == field.name else F.year(column)
     if field.kind == "currency":
         return currency_to_int(column) if is_text else column.cast("int")
     if field.kind == "trimmed":

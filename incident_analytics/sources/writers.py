@@ -6,7 +6,6 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from incident_analytics.sources.readers import read_csv
 from incident_analytics.sources.schemas import TABLES, canonicalize
@@ -45,8 +44,8 @@ class Conversion:
     """One CSV to Parquet job.
 
     ``table`` names one of the four input tables and gives the copy canonical names and
-    types; without it all columns stay text under their own headers. ``year_of`` names a
-    timestamp column whose year becomes the partition column ``<year_of>_year``.
+    types; without it all columns stay text under their own headers. ``partition_by`` names
+    columns to lay the copy out by, such as ``rptd_year``.
     """
 
     source: str
@@ -54,18 +53,13 @@ class Conversion:
     table: str | None = None
     sep: str = ","
     columns: tuple[str, ...] | None = None
-    year_of: str | None = None
+    partition_by: tuple[str, ...] = ()
 
 
 def convert(spark: SparkSession, jobs: Iterable[Conversion]) -> None:
-    """Run the conversions; a job without ``year_of`` is a map-only copy, no shuffle."""
+    """Run the conversions; a job without ``partition_by`` is a map-only copy, no shuffle."""
     for job in jobs:
         df = read_csv(spark, job.source, sep=job.sep)
         if job.table is not None:
             df = canonicalize(df, TABLES[job.table], job.columns)
-        partition_by: tuple[str, ...] = ()
-        if job.year_of is not None:
-            year = f"{job.year_of}_year"
-            df = df.withColumn(year, F.year(job.year_of))
-            partition_by = (year,)
-        write_parquet(df, job.target, partition_by)
+        write_parquet(df, job.target, job.partition_by)
