@@ -30,7 +30,7 @@ from incident_analytics.plans import (
 )
 from incident_analytics.plans.station_distance import ROUTES
 from incident_analytics.sources import Conversion, convert, read_table, write_csv
-from incident_analytics.sources.schemas import TABLES
+from incident_analytics.sources.schemas import stored_columns
 from incident_analytics.sources.scratch import scratch_path
 from incident_analytics.twins import domain
 
@@ -54,19 +54,19 @@ class Files:
 
     def __init__(self, spark: SparkSession, name: str, *eras: DataFrame):
         self.spark, self.name = spark, name
-        headers = {c.strip() for df in eras for c in df.columns}
-        self.columns = tuple(f.name for f in TABLES[name] if f.raw in headers)
+        raw = domain.columns_in(name, eras[0])
+        self.columns = {"csv": raw, "parquet": stored_columns(name, raw)}
         self.paths: dict[str, list[str]] = {"csv": [], "parquet": []}
         for era in eras:
             csv, parquet = scratch_path(spark, "bench-csv"), scratch_path(spark, "bench-parquet")
             write_csv(era, csv)
-            convert(spark, [Conversion(csv, parquet, name, columns=self.columns)])
+            convert(spark, [Conversion(csv, parquet, name, columns=tuple(raw))])
             self.paths["csv"].append(csv)
             self.paths["parquet"].append(parquet)
 
     def read(self, fmt: str) -> DataFrame:
         return read_table(
-            self.spark, self.name, *self.paths[fmt], fmt=fmt, columns=self.columns
+            self.spark, self.name, *self.paths[fmt], fmt=fmt, columns=self.columns[fmt]
         )
 
 

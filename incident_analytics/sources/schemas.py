@@ -22,12 +22,14 @@ class Field:
     """One column: its header in the raw file, our name for it, and its kind.
 
     ``kind`` is a Spark type name, or one of ``us_timestamp``, ``us_year``, ``currency``
-    (text layouts that need parsing) and ``trimmed`` (text without outer blanks).
+    (text layouts that need parsing) and ``trimmed`` (text without outer blanks). A
+    ``raw_only`` column is there while the source holds text; a typed copy does not keep it.
     """
 
     raw: str
     name: str
     kind: str
+    raw_only: bool = False
 
 
 # The headers of the input files.
@@ -36,6 +38,7 @@ INCIDENTS = (
     Field("Date Rptd", "date_rptd", "us_timestamp"),
     Field("Date Rptd", "rptd_year", "us_year"),
     Field("DATE OCC", "date_occ", "us_timestamp"),
+    Field("DATE OCC", "date_occ_text", "string", raw_only=True),
     Field("TIME OCC", "time_occ", "string"),
     Field("AREA", "area", "int"),
     Field("Premis Desc", "premis_desc", "string"),
@@ -67,9 +70,13 @@ TABLES = {
 }
 
 
+def _is_text(source: T.StructField) -> bool:
+    return isinstance(source.dataType, T.StringType)
+
+
 def _typed(field: Field, source: T.StructField) -> Column:
     column = F.col(f"`{source.name}`")
-    is_text = isinstance(source.dataType, T.StringType)
+    is_text = _is_text(source)
     if field.kind == "us_timestamp":
         return us_timestamp(column) if is_text else column.cast("timestamp")
     if field.kind == "us_year":
@@ -105,12 +112,21 @@ def canonicalize(
         if columns is not None and field.name not in columns:
             continue
         source = present.get(field.raw.casefold()) or present.get(field.name.casefold())
+        if field.raw_only and columns is None and not (source and _is_text(source)):
+            continue
         if source is None:
             raise ValueError(f"input has no column {field.raw!r} (or {field.name!r})")
         chosen.append(_typed(field, source).alias(field.name))
     return df.select(*chosen)
 
 
+def stored_columns(table: str, columns: Sequence[str] | None = None) -> list[str]:
+    """The named columns (by default all) that a typed copy of a table keeps."""
+    return [
+        f.name for f in TABLES[table] if not f.raw_only and (columns is None or f.name in columns)
+    ]
+
+
 def as_typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Project ``df`` to the named columns, in order, cast to the declared Spark types."""
     return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()])

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from incident_analytics.sources.readers import read_csv
-from incident_analytics.sources.schemas import TABLES, canonicalize
+from incident_analytics.sources.schemas import TABLES, canonicalize, stored_columns
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", keep_blanks: bool = False) -> None:
@@ -61,5 +61,5 @@ def convert(spark: SparkSession, jobs: Iterable[Conversion]) -> None:
     for job in jobs:
         df = read_csv(spark, job.source, sep=job.sep)
         if job.table is not None:
-            df = canonicalize(df, TABLES[job.table], job.columns)
+            df = canonicalize(df, TABLES[job.table], stored_columns(job.table, job.columns))
         write_parquet(df, job.target, job.partition_by)

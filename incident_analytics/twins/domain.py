@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from incident_analytics.functions.times import US_TIMESTAMP
 from incident_analytics.operators.sets import union_eras
 from incident_analytics.sources.readers import read_parquet, read_table
-from incident_analytics.sources.schemas import TABLES, canonicalize
+from incident_analytics.sources.schemas import TABLES, canonicalize, stored_columns
 from incident_analytics.sources.scratch import scratch_path
 from incident_analytics.sources.writers import Conversion, convert, write_csv
 
@@ -114,25 +114,26 @@ def station_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _columns(name: str, df: DataFrame) -> list[str]:
+def columns_in(name: str, df: DataFrame) -> list[str]:
+    """Canonical columns that a raw file has."""
     headers = {c.strip() for c in df.columns}
     return [f.name for f in TABLES[name] if f.raw in headers]
 
 
 def direct(name: str, *files: DataFrame) -> DataFrame:
     """The files in canonical shape, without a copy on disk."""
-    return union_eras(*[canonicalize(df, TABLES[name], _columns(name, df)) for df in files])
+    return union_eras(*[canonicalize(df, TABLES[name], columns_in(name, df)) for df in files])
 
 
 def through_csv(name: str, *files: DataFrame) -> DataFrame:
     """The files in canonical shape, written as CSV and read back."""
-    spark, columns = files[0].sparkSession, _columns(name, files[0])
+    spark, columns = files[0].sparkSession, columns_in(name, files[0])
     return read_table(spark, name, *_as_csv(name, files), columns=columns)
 
 
 def through_parquet(name: str, *files: DataFrame) -> DataFrame:
     """The files in canonical shape, written as CSV, converted to Parquet and read back."""
-    spark, columns = files[0].sparkSession, _columns(name, files[0])
+    spark, columns = files[0].sparkSession, stored_columns(name, columns_in(name, files[0]))
     jobs = [
         Conversion(path, scratch_path(spark, f"{name}-parquet"), name, columns=tuple(columns))
         for path in _as_csv(name, files)
