@@ -100,10 +100,10 @@ def headline(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFra
         found[f"q2_{fmt}_sql"] = lambda fmt=fmt: daypart_counts_sql(
             spark, events.read(fmt), "click"
         )
-    for strategy in STRATEGIES:
-        for side in ("top", "bottom"):
-            found[f"q3_csv_{side}_{strategy}"] = partial(victims, "csv", side, strategy)
-        found[f"q3_parquet_top_{strategy}"] = partial(victims, "parquet", "top", strategy)
+    for side in ("top", "bottom"):
+        found[f"q3_csv_{side}_auto"] = partial(victims, "csv", side, "auto")
+        for strategy in STRATEGIES:
+            found[f"q3_parquet_{side}_{strategy}"] = partial(victims, "parquet", side, strategy)
     for route in ROUTES:
         found[f"q4_csv_{route}"] = partial(distance, "csv", route)
         found[f"q4_parquet_{route}"] = partial(distance, "parquet", route)

@@ -12,6 +12,8 @@ from incident_analytics.operators.joins import fits_broadcast, join_with
 from incident_analytics.operators.lookups import keep_matching, one_per_key
 from incident_analytics.operators.ranking import extreme_values
 
+# Numbers of income values up to which they are broadcast.
+_MAX_BROADCAST_VALUES = 100_000
 # Strategies that shuffle the incidents, so that counting first makes less to shuffle.
 _SHUFFLING = ("merge", "shuffle_hash", "shuffle_replicate_nl")
 
@@ -67,11 +69,12 @@ def victims_of_side(
     than ``n`` ZIP codes may be in.
     """
     incomes = extreme_values(profile, "median_income", n, side).toDF("extreme")
-    # n values, so always small enough to broadcast. Null-safe equality, although no value is
-    # null, because Spark would push "not null" into this use of the profile only and then
-    # compute it twice.
+    if n <= _MAX_BROADCAST_VALUES:
+        incomes = F.broadcast(incomes)
+    # Null-safe equality, although no value is null, because Spark would push "not null" into
+    # this use of the profile only and then compute it twice.
     has_extreme = profile["median_income"].eqNullSafe(F.col("extreme"))
-    matched = profile.join(F.broadcast(incomes), has_extreme, "left_semi")
+    matched = profile.join(incomes, has_extreme, "left_semi")
     zips = matched.select("zip").distinct()
     # For "broadcast" Spark decides when it knows the size of the selection. Measuring it here
     # would read all incidents once more.

@@ -19,13 +19,13 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV files with a header line; never infers types.
 
-    With a ``schema`` the header is checked against it, so that a column cannot be read
-    under the wrong name. Without one, every column is text under its header's name; only
-    the header line is read to learn the names.
+    Without a ``schema`` every column is text under its header's name; only one header line
+    is read to learn the names. The header of every file is checked against the schema, so
+    a file with another order of columns is an error and is not read under wrong names.
     """
-    reader = spark.read.option("header", True).option("sep", sep)
+    reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema)
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -19,8 +20,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get(_SETTING, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="incident-analytics-")
-        spark.conf.set(_SETTING, shared)
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="incident-analytics-")
+        shared = _local_folders[context.applicationId]
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -106,6 +107,15 @@ def test_header_is_checked_against_the_schema(spark, tmp_path):
         read_csv(spark, path, "y int, x int").collect()
 
 
+def test_files_with_different_headers_are_an_error(spark, tmp_path):
+    write_file(tmp_path / "a.csv", ("x", "y"), [(1, 2)])
+    write_file(tmp_path / "b.csv", ("y", "x"), [(2, 1)])
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path)).select("x").collect()
+
+
 @pytest.mark.parametrize("sep", [",", "|"])
 def test_csv_sink(spark, tmp_path, sep):
     df = spark.createDataFrame([(1, "a,b|c", 0.1), (2, None, None)], "i int, t string, d double")
@@ -172,11 +182,17 @@ def test_scratch_path(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
-    cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn")
-    )
+
+
+def test_scratch_path_without_the_setting():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="test")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(cluster, "x")
+        scratch_path(session("yarn"), "x")
+    first, second = (Path(scratch_path(session("local[2]"), "x")) for _ in range(2))
+    assert first.parent == second.parent and first.parent.is_dir()
 
 
 def test_read_table_of_other_name(spark, tmp_path):
