@@ -30,30 +30,27 @@ def income_profile(
     Small next to the incidents: ZIP codes times descents. Both sides of the report can be
     taken from it by `victims_of_side`; persist it to read the incidents once for both.
 
-    Where the lookups can be broadcast the incidents are joined as they are read and only
-    the counts are shuffled; ``broadcast`` measures them first and continues as ``merge`` if
-    they are too big. The strategies that shuffle count per coordinate and descent before, so
-    that a coordinate with a large part of all rows shrinks to a few.
+    Where the coordinate lookup can be broadcast the incidents are joined as they are read and
+    only counts are shuffled; ``broadcast`` measures the lookups first and continues as
+    ``merge`` if they are too big. The strategies that shuffle count per coordinate and descent
+    before, so that a coordinate with a large part of all rows shrinks to a few.
     """
     zips = one_per_key(revgeo, ["lat", "lon"], "zip")
     if strategy == "broadcast":
         small = (fits_broadcast(revgeo) or fits_broadcast(zips)) and fits_broadcast(income)
         zips, income = (F.broadcast(zips), F.broadcast(income)) if small else (zips, income)
         strategy = "auto" if small else "merge"
-    known = incidents.filter(
-        (F.col("rptd_year") == year) & F.col("vict_descent").isNotNull()
-    )
-    victims = known.select("lat", "lon", "vict_descent", F.lit(1).cast("bigint").alias("victims"))
+    known = incidents.filter((F.col("rptd_year") == year) & F.col("vict_descent").isNotNull())
     if strategy in _SHUFFLING:
         victims = known.groupBy("lat", "lon", "vict_descent").agg(F.count("*").alias("victims"))
+    else:
+        victims = known.select("lat", "lon", "vict_descent", F.lit(1).alias("victims"))
     placed = join_with(victims, zips, ["lat", "lon"], strategy=strategy)
-    valued = join_with(placed, income, "zip", strategy=strategy)
-    profile = valued.groupBy("zip", "median_income", "vict_descent").agg(
-        F.sum("victims").alias("victims")
-    )
+    per_zip = placed.groupBy("zip", "vict_descent").agg(F.sum("victims").alias("victims"))
     # Always true. It keeps the sum in every use of the profile, so that all uses have the
-    # same plan and Spark computes it once (ReusedExchange).
-    return profile.filter(F.col("victims") > 0)
+    # same plan up to here and Spark computes it once (ReusedExchange).
+    per_zip = per_zip.filter(F.col("victims") > 0)
+    return join_with(per_zip, income, "zip", strategy=strategy)
 
 
 def victims_of_side(
@@ -68,13 +65,10 @@ def victims_of_side(
     Incomes are those of ZIP codes with incidents. Several ZIP codes may share one, so more
     than ``n`` ZIP codes may be in.
     """
-    incomes = extreme_values(profile, "median_income", n, side).toDF("extreme")
+    incomes = extreme_values(profile, "median_income", n, side)
     if n <= _MAX_BROADCAST_VALUES:
         incomes = F.broadcast(incomes)
-    # Null-safe equality, although no value is null, because Spark would push "not null" into
-    # this use of the profile only and then compute it twice.
-    has_extreme = profile["median_income"].eqNullSafe(F.col("extreme"))
-    matched = profile.join(incomes, has_extreme, "left_semi")
+    matched = profile.join(incomes, "median_income", "left_semi")
     zips = matched.select("zip").distinct()
     # For "broadcast" Spark decides when it knows the size of the selection. Measuring it here
     # would read all incidents once more.
