@@ -7,6 +7,8 @@ from incident_analytics.functions.times import (
     DAYPARTS,
     DAYPARTS_GREEK,
     daypart,
+    daypart_hour,
+    daypart_of_hour,
     hour_of_hhmm,
     text_year,
     us_timestamp,
@@ -18,6 +20,8 @@ __all__ = [
     "DESCENT_LABELS",
     "currency_to_int",
     "daypart",
+    "daypart_hour",
+    "daypart_of_hour",
     "decode",
     "has_prefix",
     "haversine_km",

@@ -37,22 +37,21 @@ def leading_two_digits(hhmm: Column) -> Column:
     return F.substring(digits, 1, 2).try_cast("int")
 
 
-def daypart(
-    hhmm: Column,
+def daypart_hour(hhmm: Column, compat: str | None = None) -> Column:
+    """The hour that decides on the part of the day, see `daypart`."""
+    if compat not in (None, "prefix2"):
+        raise ValueError(f"unknown compat mode {compat!r}")
+    return hour_of_hhmm(hhmm) if compat is None else leading_two_digits(hhmm)
+
+
+def daypart_of_hour(
+    hour: Column,
     labels: tuple[str, str, str, str] = DAYPARTS,
     unknown: str = "Unknown",
     compat: str | None = None,
 ) -> Column:
-    """Label of the part of day of an HHMM time.
-
-    ``labels`` are those of morning (5-11), afternoon (12-16), evening (17-20) and night.
-    Times that cannot be read are ``unknown``. ``compat="prefix2"`` takes
-    `leading_two_digits` for the hour and calls everything else, also null, night.
-    """
-    if compat not in (None, "prefix2"):
-        raise ValueError(f"unknown compat mode {compat!r}")
+    """Label of the part of day of an hour, see `daypart`."""
     morning, afternoon, evening, night = labels
-    hour = hour_of_hhmm(hhmm) if compat is None else leading_two_digits(hhmm)
     label = (
         F.when((hour >= MORNING) & (hour < AFTERNOON), morning)
         .when((hour >= AFTERNOON) & (hour < EVENING), afternoon)
@@ -61,3 +60,18 @@ def daypart(
     if compat is None:
         label = label.when(hour.isNull(), unknown)
     return label.otherwise(night)
+
+
+def daypart(
+    hhmm: Column,
+    labels: tuple[str, str, str, str] = DAYPARTS,
+    unknown: str = "Unknown",
+    compat: str | None = None,
+) -> Column:
+    """Label of the part of day of an HHMM time.
+
+    ``labels`` are those of morning (5-11), afternoon (12-16), evening (17-20) and night.
+    Times that cannot be read are ``unknown``. ``compat="prefix2"`` takes
+    `leading_two_digits` for the hour and calls everything else, also null, night.
+    """
+    return daypart_of_hour(daypart_hour(hhmm, compat), labels, unknown, compat)
