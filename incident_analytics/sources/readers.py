@@ -55,7 +55,9 @@ def read_table(
     for path in paths:
         raw = read_csv(spark, path, sep=sep) if fmt == "csv" else read_parquet(spark, path)
         eras.append(canonicalize(raw, TABLES[table], columns))
-    return union_eras(*eras)
+    # A typed copy lacks the raw-only columns that an era of text has.
+    shared = [c for c in eras[0].columns if all(c in era.columns for era in eras)]
+    return union_eras(*[era.select(*shared) for era in eras])
 
 
 def read_incidents(spark: SparkSession, *paths: str, **options) -> DataFrame:

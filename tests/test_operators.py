@@ -106,6 +106,8 @@ def test_salt_spreads_copies_of_one_row(spark):
     copies = spark.range(8000).repartition(8).select(F.lit(1).alias("k"), F.lit("x").alias("salt"))
     shares = [r["count"] for r in copies.groupBy(dealt_salt(copies, 16)).count().collect()]
     assert len(shares) >= 8 and max(shares) <= 8000 / 4
+    again = [r["count"] for r in copies.groupBy(dealt_salt(copies, 16)).count().collect()]
+    assert sorted(again) == sorted(shares)
     right = spark.createDataFrame([(1, 2)], "k int, salt2 int")
     joined = salted_join(copies, right, "k")  # a column named salt is no obstacle
     assert joined.columns == ["k", "salt", "salt2"]

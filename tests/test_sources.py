@@ -150,6 +150,8 @@ def test_conversion_keeps_all_rows(spark, tmp_path):
     assert rows_of(read_incidents(spark, laid_out, fmt="parquet")) == direct
     # A copy that is still text is parsed when read.
     assert rows_of(read_incidents(spark, text, fmt="parquet", columns=columns)) == direct
+    mixed = read_incidents(spark, text, plain, fmt="parquet")
+    assert rows_of(mixed) == sorted(direct * 2, key=repr)
     year = read_incidents(spark, laid_out, fmt="parquet").filter(F.col("rptd_year") == 2015)
     plan = executed_plan(year.select("dr_no"))
     assert "PartitionFilters: [isnotnull(rptd_year" in plan
