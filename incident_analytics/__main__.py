@@ -77,8 +77,10 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """The result of the report that the arguments name."""
     incidents = read_incidents(spark, *args.incidents, fmt=args.format)
     if args.command == "top-months":
-        by_sql = args.api == "sql"
-        ranked = top_months_sql(spark, incidents, args.k) if by_sql else top_months(incidents, args.k)
+        if args.api == "sql":
+            ranked = top_months_sql(spark, incidents, args.k)
+        else:
+            ranked = top_months(incidents, args.k)
         return top_months_report(ranked) if args.pad else ranked
     if args.command == "dayparts":
         if args.api == "sql":

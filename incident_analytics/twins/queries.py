@@ -198,7 +198,9 @@ def filter_null_island(spark: SparkSession, sf_dir: str) -> DataFrame:
 def station_km(spark: SparkSession, sf_dir: str) -> DataFrame:
     stations = direct("stations", station_file(spark, sf_dir))
     km = haversine_km(F.col("lat"), F.col("lon"), F.lit(34.05), F.lit(-118.24))
-    return stations.select(F.col("prec").cast("bigint").alias("s_suppkey"), F.round(km, 3).alias("km"))
+    return stations.select(
+        F.col("prec").cast("bigint").alias("s_suppkey"), F.round(km, 3).alias("km")
+    )
 
 
 def decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,9 +250,9 @@ def dedupe_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     zips = one_per_key(direct("revgeo", revgeo_file(spark, sf_dir)), ["lat", "lon"], "zip")
-    same_place = (F.col("crime.lat") == F.col("zips.lat")) & (F.col("crime.lon") == F.col("zips.lon"))
+    same_lat, same_lon = (F.col(f"crime.{c}") == F.col(f"zips.{c}") for c in ("lat", "lon"))
     incidents = order_incidents(spark, sf_dir)
-    placed = join_with(incidents.alias("crime"), zips.alias("zips"), same_place)
+    placed = join_with(incidents.alias("crime"), zips.alias("zips"), same_lat & same_lon)
     return placed.select(F.col("crime.dr_no").alias("o_orderkey"), F.col("zips.zip").alias("zip"))
 
 

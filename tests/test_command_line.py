@@ -73,7 +73,8 @@ def test_reports(spark, files, tmp_path):
 
 def test_convert_then_report(spark, files, tmp_path, capsys):
     target, out = str(tmp_path / "copy"), str(tmp_path / "out")
-    run(spark, ["convert", "--table", "incidents", "--partition-by", "rptd_year", files["old"], target])
+    layout = ["--table", "incidents", "--partition-by", "rptd_year"]
+    run(spark, ["convert", *layout, files["old"], target])
     run(
         spark,
         ["top-months", "--incidents", target, "--format", "parquet", "--out", out]

@@ -206,7 +206,8 @@ def test_victims(data, strategy, side):
 
 def test_repeated_lookup_rows_multiply(spark, data):
     extra = [("90001", "again", "$70,000"), ("90009", "again", "$60,000")]
-    df = spark.createDataFrame([("90001", 70000), ("90009", 60000)], "zip string, median_income int")
+    more = [("90001", 70000), ("90009", 60000)]
+    df = spark.createDataFrame(more, "zip string, median_income int")
     income = data["income"].unionByName(df)
     for side in ("top", "bottom"):
         expected = victims_by_hand(side, income=INCOME + extra)

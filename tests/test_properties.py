@@ -15,7 +15,8 @@ few = settings(
 )
 lat = st.floats(-90, 90)
 lon = st.floats(-180, 180)
-keyed = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(-5, 5)), max_size=60)
+key = st.one_of(st.none(), st.integers(0, 3))
+keyed = st.lists(st.tuples(key, st.integers(-5, 5)), max_size=60)
 
 
 @few
@@ -62,14 +63,17 @@ def test_salted_join_is_a_join(spark, first, second, salts):
     left = spark.createDataFrame(first, "k int, v int")
     right = spark.createDataFrame(second, "k int, w int")
     got = Counter(tuple(r) for r in salted_join(left, right, "k", salts=salts).collect())
-    assert got == Counter((k, v, w) for k, v in first for j, w in second if k is not None and k == j)
+    assert got == Counter(
+        (k, v, w) for k, v in first for j, w in second if k is not None and k == j
+    )
 
 
 @few
 @given(keyed, st.integers(1, 4))
 def test_top_k_and_extremes(spark, rows, k):
     df = spark.createDataFrame(sorted(set(rows), key=repr), "k int, v int")
-    got = Counter((r.k, r.v, r.ranking) for r in top_k_per_group(df, ["k"], [F.asc("v")], k).collect())
+    top = top_k_per_group(df, ["k"], [F.asc("v")], k)
+    got = Counter((r.k, r.v, r.ranking) for r in top.collect())
     expected = Counter()
     for key in {key for key, _ in rows}:
         values = sorted({v for j, v in rows if j == key})[:k]
