@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, mixing, quality
+from incident_analytics.llm import bpe, minhash, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
+_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Workers import this package from where the driver did, whatever folder they start in.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -31,11 +35,17 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), ranks)
 
 
+def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(documents(spark, sf_dir))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op4_source_mix": source_mix,
         "op5_quality_rules": quality_rules,
         "op8_byte_bpe": byte_bpe,
+        "op9_minhash_dedup": minhash_dedup,
     }
 
 
