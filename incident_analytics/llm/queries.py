@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, minhash, mixing, quality
+from incident_analytics.llm import bpe, minhash, mixing, quality, spotsigs
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -35,6 +35,10 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), ranks)
 
 
+def spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(documents(spark, sf_dir))
+
+
 def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(documents(spark, sf_dir))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -44,6 +48,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op4_source_mix": source_mix,
         "op5_quality_rules": quality_rules,
+        "op6_spot_fingerprints": spot_fingerprints,
         "op8_byte_bpe": byte_bpe,
         "op9_minhash_dedup": minhash_dedup,
     }
