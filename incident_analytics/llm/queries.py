@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, minhash, mixing, quality, spotsigs
+from incident_analytics.llm import bpe, minhash, mixing, pii, quality, spotsigs
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -44,6 +44,10 @@ def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op4_source_mix": source_mix,
@@ -51,6 +55,7 @@ def llm_queries() -> dict[str, Query]:
         "op6_spot_fingerprints": spot_fingerprints,
         "op8_byte_bpe": byte_bpe,
         "op9_minhash_dedup": minhash_dedup,
+        "op10_pii": personal_data,
     }
 
 
