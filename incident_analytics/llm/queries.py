@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, minhash, mixing, pii, quality, spotsigs
+from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -48,11 +48,19 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    out = lm.scores(docs, docs.filter(~held_out)).withColumn("held_out", held_out)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op4_source_mix": source_mix,
         "op5_quality_rules": quality_rules,
         "op6_spot_fingerprints": spot_fingerprints,
+        "op7_lm_score": lm_scores,
         "op8_byte_bpe": byte_bpe,
         "op9_minhash_dedup": minhash_dedup,
         "op10_pii": personal_data,

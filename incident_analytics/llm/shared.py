@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -18,3 +20,13 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written once as Parquet to a new folder below spark.checkpoint.dir, and read from there."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or df.sparkSession.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
