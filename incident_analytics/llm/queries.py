@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs
+from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -55,8 +55,14 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.without_repeated_bytes(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
+        "op2_suffix_array_dedup": suffix_array_dedup,
         "op4_source_mix": source_mix,
         "op5_quality_rules": quality_rules,
         "op6_spot_fingerprints": spot_fingerprints,
