@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from incident_analytics.llm.arrays import LOWER, Rolling, Words, by_text, mix
 from incident_analytics.llm.components import components
-from incident_analytics.llm.shared import cut
+from incident_analytics.llm.shared import stored
 
 #: Words of a shingle; least similarity in per cent.
 SHINGLE, LIKENESS = 4, 80
 #: Bands of two permutations each; with minimum and maximum a band holds four values. A pair of
 #: similarity 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, below 1e-7.
 BANDS = 32
+#: Rounds in which bands of several components get another pivot before all pairs left are compared.
+ROUNDS = 6
 
 _A = mix(np.arange(2 * BANDS, dtype=np.uint64) + np.uint64(1 << 40)) | np.uint64(1)
 _B = mix(np.arange(2 * BANDS, dtype=np.uint64) + np.uint64(1 << 41))
@@ -109,59 +111,77 @@ def _confirmed(likeness: int):
     return run
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, likeness: int) -> DataFrame:
-    """Pairs (a, b) whose whole shingle sets are alike.
-
-    Texts of the classes in question are read again and shuffled once; each set goes to its pairs.
-    """
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    one = classes.join(asked, "node", "left_semi").select(F.col("least").alias("_least"), F.col("node").alias("_node"))
-    texts = docs.join(one.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_least"))).select("text")
-    sets = _sets(texts, k).groupBy("node").agg(F.first("shingles").alias("shingles"))
+def _links(pairs: DataFrame, sets: DataFrame, likeness: int) -> DataFrame:
+    """Pairs (a, b) whose whole shingle sets are alike; each set goes to its pairs."""
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     return with_b.select("a", "b", "x", "y").mapInArrow(_confirmed(likeness), "a long, b long")
 
 
+def _pairs(bands: DataFrame, pivots: DataFrame, likeness: int) -> DataFrame:
+    """Pairs of each band's pivot with the band's classes of other components and of a possible size."""
+    one = pivots.select("band", *(F.col(f"pivot.{c}").alias(f"_{c}") for c in ("node", "label", "size")))
+    return _possible(bands.join(one, "band").filter("label <> _label"), likeness)
+
+
+def _possible(pairs: DataFrame, likeness: int) -> DataFrame:
+    sized = pairs.filter(f"100 * least(size, _size) >= {likeness} * greatest(size, _size)")
+    return sized.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, likeness: int = LIKENESS) -> DataFrame:
     """doc_id, n_shingles and component_id of each row.
 
-    Rows with equal sets are one class, so thousands of copies travel once. Classes that share a band
-    are candidates; every class of a band is compared with its least one first. Components of
-    the links found leave few bands with classes of several components, and there all pairs of
-    different components that were not compared are, so no link between bands' members is lost.
+    Rows with equal sets are one class, so thousands of copies travel once. Classes that share a band are
+    candidates. All pairs of a band are never made at once: first the classes of a band are compared
+    with one pivot, the class that shares most bands with others, as the original of many near copies
+    does. Pairs within one component then need no comparison. Bands that still hold several components get
+    other pivots for some rounds, and at last the pairs that are left, so no link of a band is lost.
     A row without words has no shingle and is its own component; rows that share a doc_id share its
     component if their texts do; component_id is null only if all doc_ids of a component are.
     """
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     fields = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("bands", pa.list_(pa.int64()))]
     shape = "doc_id long, n_shingles long, node long, check long, bands array<long>"
-    rows = cut(docs.mapInArrow(by_text(lambda d, o: signatures(d, o, k), pa.schema(fields)), shape))
+    rows = stored(docs.mapInArrow(by_text(lambda d, o: signatures(d, o, k), pa.schema(fields)), shape))
     filled = rows.filter("node is not null")
     classes = filled.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"))
     # Equal sets have equal bands, so one row for each class and band is enough.
     members = filled.select("node", F.explode("bands").alias("band")).distinct()
-    shared = members.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last")
-    in_bands = members.join(shared.select("band", "pivot"), "band")
-    stars = cut(in_bands.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    links = cut(_links(stars, docs, classes, k, likeness))
-    labels = components(links)
-    named = in_bands.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    # Bands whose classes fell into several components: the pairs between components are left to compare.
-    split = named.groupBy("band").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_n")).filter("_a < _b and _n > 2")
-    sized = named.join(split.select("band"), "band", "left_semi").join(classes.select("node", "size"), "node")
-    right = sized.select("band", *(F.col(c).alias(f"_{c}") for c in ("node", "label", "size")))
-    rest = (
-        sized.join(right, "band")
-        .filter(f"node < _node and label <> _label and 100 * least(size, _size) >= {likeness} * greatest(size, _size)")
-        .select(F.col("node").alias("a"), F.col("_node").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    rest = cut(rest)
-    if rest.limit(1).count():
-        links = links.union(_links(rest, docs, classes, k, likeness))
+    shared = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    in_bands = stored(members.join(shared, "band"))
+    degree = in_bands.groupBy("node").agg(F.sum("n").alias("degree")).join(classes, "node")
+    bands = stored(in_bands.join(degree.select("node", "degree", "size"), "node").select("band", "node", "degree", "size"))
+    one = degree.select(F.col("least").alias("_least"), F.col("node").alias("_node"))
+    texts = docs.join(one.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_least"))).select("text")
+    sets = stored(_sets(texts, k).groupBy("node").agg(F.first("shingles").alias("shingles")))
+
+    named = bands.withColumn("label", F.col("node"))
+    first = named.groupBy("band").agg(F.max(F.struct("degree", "node", "label", "size")).alias("pivot"))
+    pairs = stored(_pairs(named, first, likeness))
+    tested, links = pairs, stored(_links(pairs, sets, likeness))
+    for turn in range(ROUNDS + 1):
         labels = components(links)
+        named = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        parts = named.groupBy("band", "label").agg(F.count("*").alias("n"))
+        open_ = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own")).filter("parts > 1 and all > 2")
+        named = stored(named.join(open_.select("band"), "band", "left_semi"))
+        left = open_.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2).alias("pairs"), F.sum("all").alias("members")).first()
+        if not left["members"]:
+            break
+        last = turn == ROUNDS or left["pairs"] <= 2 * left["members"]
+        if last:
+            other = named.select("band", *(F.col(c).alias(f"_{c}") for c in ("node", "label", "size")))
+            pairs = _possible(named.join(other, "band").filter("node < _node and label <> _label"), likeness)
+        else:
+            chosen = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "size")
+            pairs = _pairs(named, named.groupBy("band").agg(F.max(chosen).alias("pivot")), likeness)
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
+        links = stored(links.union(_links(pairs, sets, likeness)))
+        tested = tested.union(pairs)
+        if last:
+            labels = components(links)
+            break
     known = classes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
     of_class = known.join(least, "label").select(F.col("node").alias("_node"), "component_id")
