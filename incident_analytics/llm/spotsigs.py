@@ -38,7 +38,7 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     one_space = F.regexp_replace(_words(F.col(text)), " +", " ")
     df = df.withColumn(plain, one_space)
     # A mark stands right before the next content word: " the of x y" becomes " \u0001x y".
-    df = df.withColumn(marked, F.regexp_replace(plain, rf"(?: (?:{anchors})(?= ))+ ", f" {_MARK}"))
+    df = df.withColumn(marked, F.regexp_replace(plain, rf"(?: (?:{anchors})(?= ))++ ", f" {_MARK}"))
     df = df.withColumn(found, F.regexp_extract_all(marked, F.lit(rf"(?<= {_MARK})(?=([^ {_MARK}]+(?: {_MARK}?[^ {_MARK}]+){{0,{CHAIN - 1}}}))"), F.lit(1)))
     every = F.regexp_extract_all(plain, F.lit(rf"(?<= )(?=([^ ]+(?: [^ ]+){{0,{CHAIN - 1}}}))"), F.lit(1))
     signatures = F.when(F.size(found) > 0, F.col(found)).otherwise(every)
