@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs, suffixes
+from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs, suffix_tree, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -60,9 +60,15 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_tree.without_repeated_words(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_suffix_array_dedup": suffix_array_dedup,
+        "op3_substring_dedup": substring_dedup,
         "op4_source_mix": source_mix,
         "op5_quality_rules": quality_rules,
         "op6_spot_fingerprints": spot_fingerprints,
