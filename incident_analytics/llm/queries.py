@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs, suffix_tree, suffixes
+from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs, suffix_tree, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -55,6 +55,18 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.train(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = toxicity.with_score(docs, toxicity_model(spark, docs, sf_dir))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixes.without_repeated_bytes(documents(spark, sf_dir))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -67,6 +79,7 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": toxicity_scores,
         "op2_suffix_array_dedup": suffix_array_dedup,
         "op3_substring_dedup": substring_dedup,
         "op4_source_mix": source_mix,
