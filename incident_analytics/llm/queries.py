@@ -15,9 +15,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Workers import this package from where the driver did, whatever folder they start in.
+def send_package(spark: SparkSession) -> None:
+    """Lets workers import this package from where the driver did, whatever folder they start in."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
