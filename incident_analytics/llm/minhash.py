@@ -18,8 +18,10 @@ SHINGLE, LIKENESS = 4, 80
 #: Bands of two permutations each; with minimum and maximum a band holds four values. A pair of
 #: similarity 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, below 1e-7.
 BANDS = 32
-#: Rounds in which bands of several components get another pivot before all pairs left are compared.
-ROUNDS = 6
+#: Bands of more classes get other pivots for some rounds before all pairs left are compared.
+LARGE, ROUNDS = 64, 3
+#: Longs of a sketch, which holds two bits of each of the 4 * BANDS values.
+SKETCH = BANDS * 8 // 64
 
 _A = mix(np.arange(2 * BANDS, dtype=np.uint64) + np.uint64(1 << 40)) | np.uint64(1)
 _B = mix(np.arange(2 * BANDS, dtype=np.uint64) + np.uint64(1 << 41))
@@ -62,14 +64,17 @@ def signatures(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> dict[
     size = np.diff(first)
     full = np.flatnonzero(size)
     bands = np.zeros((len(full), BANDS), np.uint64)
+    sketch = np.zeros((len(full), SKETCH), np.uint64)
     if len(full):
         at = first[:-1][full]
         value = np.empty_like(hashes)
         for i in range(2 * BANDS):
             np.multiply(hashes, _A[i], out=value)
             value += _B[i]
-            for end in (np.minimum.reduceat(value, at), np.maximum.reduceat(value, at)):
+            for j, end in enumerate((np.minimum.reduceat(value, at), np.maximum.reduceat(value, at))):
                 bands[:, i // 2] = mix(bands[:, i // 2] ^ end)
+                bit = 2 * (2 * i + j)
+                sketch[:, bit // 64] |= (mix(end) & np.uint64(3)) << np.uint64(bit % 64)
         bands = mix(bands + np.arange(BANDS, dtype=np.uint64))
     ends = np.zeros(len(size) + 1, np.int32)
     np.cumsum(np.where(size > 0, BANDS, 0), out=ends[1:])
@@ -78,6 +83,7 @@ def signatures(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> dict[
     return {
         "n_shingles": size,
         "node": pa.array(one, mask=empty), "check": pa.array(two, mask=empty),
+        "sketch": pa.ListArray.from_arrays(pa.array(ends // (BANDS // SKETCH)), pa.array(sketch.ravel().view(np.int64))),
         "bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.ravel().view(np.int64))),
     }
 
@@ -120,12 +126,25 @@ def _links(pairs: DataFrame, sets: DataFrame, likeness: int) -> DataFrame:
 
 def _pairs(bands: DataFrame, pivots: DataFrame, likeness: int) -> DataFrame:
     """Pairs of each band's pivot with the band's classes of other components and of a possible size."""
-    one = pivots.select("band", *(F.col(f"pivot.{c}").alias(f"_{c}") for c in ("node", "label", "size")))
+    one = pivots.select("band", *(F.col(f"pivot.{c}").alias(f"_{c}") for c in ("node", "label", "size", "sketch")))
     return _possible(bands.join(one, "band").filter("label <> _label"), likeness)
 
 
 def _possible(pairs: DataFrame, likeness: int) -> DataFrame:
+    """Pairs whose sizes allow the likeness, and whose sketches don't contradict it.
+
+    Two values of a sketch agree with probability likeness + (1 - likeness) / 4. A pair that falls eight
+    standard deviations below is left out; a true link does so far more rarely than it misses all bands.
+    """
     sized = pairs.filter(f"100 * least(size, _size) >= {likeness} * greatest(size, _size)")
+    agree = likeness / 100 + (1 - likeness / 100) / 4
+    values = 4 * BANDS
+    most = values * (1 - agree) + 8 * (values * agree * (1 - agree)) ** 0.5
+    differ = F.lit(0)
+    for i in range(SKETCH):
+        odd = F.col("sketch")[i].bitwiseXOR(F.col("_sketch")[i])
+        differ = differ + F.bit_count(odd.bitwiseOR(F.shiftrightunsigned(odd, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    sized = sized.filter(differ <= F.lit(most))
     return sized.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
 
@@ -135,46 +154,47 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, likeness: int = LIKENESS)
     Rows with equal sets are one class, so thousands of copies travel once. Classes that share a band are
     candidates. All pairs of a band are never made at once: first the classes of a band are compared
     with one pivot, the class that shares most bands with others, as the original of many near copies
-    does. Pairs within one component then need no comparison. Bands that still hold several components get
-    other pivots for some rounds, and at last the pairs that are left, so no link of a band is lost.
+    does. Pairs within one component then need no comparison. Large bands that still hold several
+    components get other pivots for some rounds; at last come the pairs that are left, so no link is lost.
     A row without words has no shingle and is its own component; rows that share a doc_id share its
     component if their texts do; component_id is null only if all doc_ids of a component are.
     """
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    fields = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("bands", pa.list_(pa.int64()))]
-    shape = "doc_id long, n_shingles long, node long, check long, bands array<long>"
+    fields = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sketch", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))]
+    shape = "doc_id long, n_shingles long, node long, check long, sketch array<long>, bands array<long>"
     rows = stored(docs.mapInArrow(by_text(lambda d, o: signatures(d, o, k), pa.schema(fields)), shape))
     filled = rows.filter("node is not null")
-    classes = filled.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"))
+    classes = filled.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.min("sketch").alias("sketch"))
     # Equal sets have equal bands, so one row for each class and band is enough.
     members = filled.select("node", F.explode("bands").alias("band")).distinct()
     shared = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     in_bands = stored(members.join(shared, "band"))
     degree = in_bands.groupBy("node").agg(F.sum("n").alias("degree")).join(classes, "node")
-    bands = stored(in_bands.join(degree.select("node", "degree", "size"), "node").select("band", "node", "degree", "size"))
+    bands = stored(in_bands.join(degree.select("node", "degree", "size", "sketch"), "node").select("band", "node", "degree", "size", "sketch"))
     one = degree.select(F.col("least").alias("_least"), F.col("node").alias("_node"))
     texts = docs.join(one.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_least"))).select("text")
     sets = stored(_sets(texts, k).groupBy("node").agg(F.first("shingles").alias("shingles")))
 
     named = bands.withColumn("label", F.col("node"))
-    first = named.groupBy("band").agg(F.max(F.struct("degree", "node", "label", "size")).alias("pivot"))
+    first = named.groupBy("band").agg(F.max(F.struct("degree", "node", "label", "size", "sketch")).alias("pivot"))
     pairs = stored(_pairs(named, first, likeness))
     tested, links = pairs, stored(_links(pairs, sets, likeness))
     for turn in range(ROUNDS + 1):
         labels = components(links)
         named = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         parts = named.groupBy("band", "label").agg(F.count("*").alias("n"))
-        open_ = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own")).filter("parts > 1 and all > 2")
-        named = stored(named.join(open_.select("band"), "band", "left_semi"))
-        left = open_.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2).alias("pairs"), F.sum("all").alias("members")).first()
-        if not left["members"]:
+        open_ = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("all")).filter("parts > 1 and all > 2")
+        named = stored(named.join(open_.select("band", "all"), "band"))
+        size = named.agg(F.max("all").alias("most")).first()["most"]
+        if not size:
             break
-        last = turn == ROUNDS or left["pairs"] <= 2 * left["members"]
+        last = turn == ROUNDS or size <= LARGE
         if last:
-            other = named.select("band", *(F.col(c).alias(f"_{c}") for c in ("node", "label", "size")))
+            other = named.select("band", *(F.col(c).alias(f"_{c}") for c in ("node", "label", "size", "sketch")))
             pairs = _possible(named.join(other, "band").filter("node < _node and label <> _label"), likeness)
         else:
-            chosen = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "size")
+            chosen = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "size", "sketch")
+            named = named.filter(F.col("all") > LARGE)
             pairs = _pairs(named, named.groupBy("band").agg(F.max(chosen).alias("pivot")), likeness)
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
         links = stored(links.union(_links(pairs, sets, likeness)))
