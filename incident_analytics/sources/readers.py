@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from incident_analytics.operators.sets import union_eras
-from incident_analytics.sources.schemas import TABLES, canonicalize
+from incident_analytics.sources.schemas import TABLES, canonicalize, stored_text
 
 
 def read_csv(
@@ -16,22 +16,46 @@ def read_csv(
     paths: str | Sequence[str],
     schema: T.StructType | str | None = None,
     sep: str = ",",
+    multi_line: bool = False,
+    empty_as_null: bool = False,
 ) -> DataFrame:
     """Read CSV files with a header line; never infers types.
 
+    Quotes inside a quoted value are doubled (``"a ""b"", c"``), as is usual. A value without quotes
+    that is empty is null; a quoted empty one is empty text, or null with ``empty_as_null``.
+    ``multi_line`` reads quoted line breaks; such files can't be split between tasks.
+
     Without a ``schema`` every column is text under its header's name; only one header line
     is read to learn the names. The header of every file is checked against the schema, so
     a file with another order of columns is an error and is not read under wrong names.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    # Spark takes empty text for null where both are written alike; this text is in no file.
+    reader = reader.option("nullValue", "" if empty_as_null else "\u0000")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
-def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Read Parquet files or directories of one schema."""
-    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+def read_parquet(
+    spark: SparkSession, paths: str | Sequence[str], types: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Read Parquet files or directories of one schema.
+
+    ``types`` are those of columns that folders are named by: Spark would infer them and turn
+    ``zip=01234`` into the number 1234.
+    """
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    found = spark.read.parquet(*listed)
+    wanted = {name.casefold(): kind for name, kind in (types or {}).items()}
+    fields = [
+        f"`{f.name}` {wanted.get(f.name.casefold(), f.dataType.simpleString())}"
+        for f in found.schema.fields
+    ]
+    if fields == [f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields]:
+        return found
+    return spark.read.schema(", ".join(fields)).parquet(*listed)
 
 
 def read_table(
@@ -41,10 +65,11 @@ def read_table(
     fmt: str = "csv",
     columns: Sequence[str] | None = None,
     sep: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read one of the four input tables in canonical shape.
 
-    Each path is one era: it may order its columns differently and is typed on its own
+    ``sep`` and ``multi_line`` are those of `read_csv`; empty values are null. Each path is one era: it may order its columns differently and is typed on its own
     before the eras are united. Only the ``columns`` asked for are parsed.
     """
     if not paths:
@@ -53,7 +78,10 @@ def read_table(
         raise ValueError(f"unknown format {fmt!r}")
     eras = []
     for path in paths:
-        raw = read_csv(spark, path, sep=sep) if fmt == "csv" else read_parquet(spark, path)
+        if fmt == "csv":
+            raw = read_csv(spark, path, sep=sep, multi_line=multi_line, empty_as_null=True)
+        else:
+            raw = read_parquet(spark, path, stored_text(table))
         eras.append(canonicalize(raw, TABLES[table], columns))
     # A typed copy lacks the raw-only columns that an era of text has.
     shared = [c for c in eras[0].columns if all(c in era.columns for era in eras)]

@@ -22,7 +22,9 @@ class Field:
     """One column: its header in the raw file, our name for it, and its kind.
 
     ``kind`` is a Spark type name, or one of ``us_timestamp``, ``us_year``, ``currency``
-    (text layouts that need parsing) and ``trimmed`` (text without outer blanks). A
+    (text layouts that need parsing), ``trimmed`` (text without outer blanks), ``code`` (the
+    same, without the ``.0`` that a number column leaves behind) and ``number_code`` (a code
+    whose leading zeros don't count: ``01`` is ``1``). Codes stay text, so none is lost. A
     ``raw_only`` column is there while the source holds text; a typed copy does not keep it.
     """
 
@@ -34,16 +36,16 @@ class Field:
 
 # The headers of the input files.
 INCIDENTS = (
-    Field("DR_NO", "dr_no", "bigint"),
+    Field("DR_NO", "dr_no", "code"),
     Field("Date Rptd", "date_rptd", "us_timestamp"),
     Field("Date Rptd", "rptd_year", "us_year"),
     Field("DATE OCC", "date_occ", "us_timestamp"),
     Field("DATE OCC", "date_occ_text", "string", raw_only=True),
     Field("TIME OCC", "time_occ", "string"),
-    Field("AREA", "area", "int"),
+    Field("AREA", "area", "number_code"),
     Field("Premis Desc", "premis_desc", "string"),
     Field("Vict Descent", "vict_descent", "string"),
-    Field("Weapon Used Cd", "weapon_cd", "int"),
+    Field("Weapon Used Cd", "weapon_cd", "code"),
     Field("LAT", "lat", "double"),
     Field("LON", "lon", "double"),
 )
@@ -60,7 +62,7 @@ STATIONS = (
     Field("X", "lon", "double"),
     Field("Y", "lat", "double"),
     Field("DIVISION", "division", "string"),
-    Field("PREC", "prec", "int"),
+    Field("PREC", "prec", "number_code"),
 )
 TABLES = {
     "incidents": INCIDENTS,
@@ -70,6 +72,9 @@ TABLES = {
 }
 
 
+_TEXT_KINDS = ("trimmed", "code", "number_code")
+
+
 def _is_text(source: T.StructField) -> bool:
     return isinstance(source.dataType, T.StringType)
 
@@ -84,9 +89,16 @@ def _typed(field: Field, source: T.StructField) -> Column:
             return text_year(column).try_cast("int")
         return column.cast("int") if source.name == field.name else F.year(column)
     if field.kind == "currency":
-        return currency_to_int(column) if is_text else column.cast("int")
-    if field.kind == "trimmed":
-        return F.trim(column.cast("string"))
+        return currency_to_int(column) if is_text else column.cast("bigint")
+    if field.kind in _TEXT_KINDS:
+        # A typed copy holds it as it shall be: a bare column, so that filters reach the scan.
+        if is_text and source.name == field.name:
+            return column
+        text = F.trim(column.cast("string"))
+        if field.kind == "trimmed":
+            return text
+        text = F.regexp_replace(text, r"\.0+$", "")
+        return F.regexp_replace(text, "^0+(?=.)", "") if field.kind == "number_code" else text
     # A bare column where the type already fits, so that filters on it reach the scan.
     if source.dataType.simpleString() == field.kind:
         return column
@@ -127,6 +139,12 @@ def stored_columns(table: str, columns: Sequence[str] | None = None) -> list[str
     ]
 
 
+def stored_text(table: str) -> dict[str, str]:
+    """The columns that a typed copy of a table holds as text."""
+    kinds = ("string", *_TEXT_KINDS)
+    return {f.name: "string" for f in TABLES[table] if f.kind in kinds and not f.raw_only}
+
+
 def as_typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Project ``df`` to the named columns, in order, cast to the declared Spark types."""
     return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()])

@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session may run without that setting: it then gets a new temporary
-    folder, which all its threads share. On a cluster a missing setting is an error,
-    since a folder of the driver's machine is out of the executors' reach.
+    Without that setting it is the folder given to `SparkContext.setCheckpointDir`; without both
+    it is an error, since a folder of the driver's machine is out of the executors' reach.
+    Copies stay until their folder is cleared, because plans read them when they run.
     """
-    shared = spark.conf.get(_SETTING, None)
+    shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        if context.applicationId not in _local_folders:
-            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="incident-analytics-")
-        shared = _local_folders[context.applicationId]
+        raise ValueError(f"set {_SETTING} to a folder that all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

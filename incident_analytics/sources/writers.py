@@ -6,21 +6,47 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from incident_analytics.sources.readers import read_csv
 from incident_analytics.sources.schemas import TABLES, canonicalize, stored_columns
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", keep_blanks: bool = False) -> None:
+def _one_line(df: DataFrame) -> DataFrame:
+    """``df``, failing when it runs into text with a line break."""
+    checked = {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            text = F.col(f"`{field.name}`")
+            broken = F.raise_error(F.lit(f"line break in column {field.name}")).cast("string")
+            checked[field.name] = F.when(text.rlike("[\\r\\n]"), broken).otherwise(text)
+    return df.withColumns(checked) if checked else df
+
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    sep: str = ",",
+    keep_blanks: bool = True,
+    multi_line: bool = False,
+) -> None:
     """Write CSV with a header, replacing what is at ``path``.
 
-    Outer blanks of values are trimmed, as Spark does by default; ``keep_blanks`` keeps
-    the padding made by `pad`.
+    What `read_csv` reads back is what was written: quotes are doubled, null is nothing, empty text is
+    ``""``, outer blanks stay unless ``keep_blanks`` is off. Text with a line break is an error,
+    as a reader that splits files would take it for two rows, unless ``multi_line`` says that it
+    will be read so.
     """
+    df = df if multi_line else _one_line(df)
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("sep", sep)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("nullValue", "")
+        .option("emptyValue", '""')
         .option("ignoreLeadingWhiteSpace", not keep_blanks)
         .option("ignoreTrailingWhiteSpace", not keep_blanks)
         .csv(path)
@@ -45,7 +71,8 @@ class Conversion:
 
     ``table`` names one of the four input tables and gives the copy canonical names and
     types; without it all columns stay text under their own headers. ``partition_by`` names
-    columns to lay the copy out by, such as ``rptd_year``.
+    columns to lay the copy out by, such as ``rptd_year``. ``sep`` and ``multi_line`` are those of
+    the source, see `read_csv`.
     """
 
     source: str
@@ -54,12 +81,16 @@ class Conversion:
     sep: str = ","
     columns: tuple[str, ...] | None = None
     partition_by: tuple[str, ...] = ()
+    multi_line: bool = False
 
 
 def convert(spark: SparkSession, jobs: Iterable[Conversion]) -> None:
     """Run the conversions; a job without ``partition_by`` is a map-only copy, no shuffle."""
     for job in jobs:
-        df = read_csv(spark, job.source, sep=job.sep)
+        typed = job.table is not None
+        df = read_csv(
+            spark, job.source, sep=job.sep, multi_line=job.multi_line, empty_as_null=typed
+        )
         if job.table is not None:
             df = canonicalize(df, TABLES[job.table], stored_columns(job.table, job.columns))
         write_parquet(df, job.target, job.partition_by)

@@ -90,8 +90,10 @@ def test_daypart_labels(spark):
 def test_currency(spark):
     texts = ["$12,345", "$12,345.67", "12345", "$1,000. ", "n/a", "", None, "$99,999,999,999"]
     assert values(spark, texts, currency_to_int) == [
-        12345, 12345, 12345, 1000, None, None, None, None
+        12345, 12345, 12345, 1000, None, None, None, 99999999999
     ]
+    odd = ["$12,345.67 USD", "-$5", "12.5k", "$3,000,000,000", "1,23", "9" * 30, "+7.9"]
+    assert values(spark, odd, currency_to_int) == [None, -5, None, 3000000000, None, None, 7]
 
 
 def test_prefix(spark):
