@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from incident_analytics.operators.salting import dealt_salt, free_name
 
-# Spark's default of spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_LIMIT = 1000
+_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def rank_in_group(
@@ -27,9 +26,10 @@ def top_k_per_group(
 
     A hot group does not arrive whole in one task: Spark cuts each group to ``k`` rows in
     every input partition before the shuffle (the plan shows two WindowGroupLimit steps).
-    It does so for small ``k`` only; for others the groups are cut in salted parts first.
+    It does so for ``k`` up to its setting ``windowGroupLimitThreshold``; beyond it the groups are
+    cut in salted parts first. The rows are the same.
     """
-    if k > GROUP_LIMIT:
+    if k > int(df.sparkSession.conf.get(_LIMIT_SETTING)):
         salt = free_name("salt", df)
         parts = df.withColumn(salt, dealt_salt(df))
         first = rank_in_group(parts, [*keys, salt], order, rank).filter(F.col(rank) <= k)

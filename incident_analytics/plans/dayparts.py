@@ -20,10 +20,10 @@ hours AS (
 labelled AS (
   SELECT CASE
            WHEN hour IS NULL THEN 'Unknown'
-           WHEN hour BETWEEN 5 AND 11 THEN 'Morning'
-           WHEN hour BETWEEN 12 AND 16 THEN 'Afternoon'
-           WHEN hour BETWEEN 17 AND 20 THEN 'Evening'
-           ELSE 'Night'
+           WHEN hour BETWEEN 5 AND 11 THEN :morning
+           WHEN hour BETWEEN 12 AND 16 THEN :afternoon
+           WHEN hour BETWEEN 17 AND 20 THEN :evening
+           ELSE :night
          END AS daypart,
          n
   FROM hours
@@ -54,7 +54,13 @@ def daypart_counts(
 
 
 def daypart_counts_sql(
-    spark: SparkSession, incidents: DataFrame, premise: str = "STREET"
+    spark: SparkSession,
+    incidents: DataFrame,
+    premise: str = "STREET",
+    labels: tuple[str, str, str, str] = DAYPARTS,
 ) -> DataFrame:
-    """`daypart_counts` with the default labels, as SQL text."""
-    return run_sql(spark, DAYPART_COUNTS_SQL, {"incidents": incidents}, {"premise": premise})
+    """`daypart_counts` as SQL text."""
+    values = dict(zip(("morning", "afternoon", "evening", "night"), labels, strict=True))
+    return run_sql(
+        spark, DAYPART_COUNTS_SQL, {"incidents": incidents}, {"premise": premise, **values}
+    )

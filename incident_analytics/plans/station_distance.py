@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.functions.geo import haversine_km, is_located
 from incident_analytics.functions.text import has_prefix
-from incident_analytics.operators.joins import fits_broadcast, salted_join
+from incident_analytics.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, salted_join
 from incident_analytics.operators.salting import DEFAULT_SALTS
 
 ROUTES = ("auto", "broadcast", "repartition")
@@ -26,20 +26,23 @@ def station_distance(
     route: str = "auto",
     prefix: str = "1",
     salts: int = DEFAULT_SALTS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Per division: division, average_distance (km, two decimals), incidents_total.
 
     Most incidents first. An incident belongs to the station whose ``prec`` is its area.
 
+    All routes count equal positions of an area first and average with those weights, so they
+    give the same figures; they differ in the join of the counts with the stations:
+
     ``auto``
         plain join, Spark chooses.
     ``broadcast``
-        map-side join: the stations go to every task, only sums per division are shuffled.
-        Stations beyond the size bound of `fits_broadcast` continue as ``repartition``.
+        map-side join: the stations go to every task. Stations that measure more than
+        ``max_broadcast_bytes`` continue as ``repartition``; that changes the plan only.
     ``repartition``
         reduce-side join. There are few areas and they are uneven, so a partition per area
-        would keep few tasks busy: equal positions are counted first, then each area is
-        spread over ``salts`` tasks.
+        would keep few tasks busy: each area is spread over ``salts`` tasks.
     """
     if route not in ROUTES:
         raise ValueError(f"unknown route {route!r}, not one of {ROUTES}")
@@ -50,35 +53,21 @@ def station_distance(
         "division",
     )
     facts = located_firearm_incidents(incidents, prefix)
-    if route == "repartition" or (route == "broadcast" and not fits_broadcast(placed)):
-        per_division = _from_counts(facts, placed, salts)
-    else:
-        station = F.broadcast(placed) if route == "broadcast" else placed
-        per_division = _from_rows(facts, station)
-    return per_division.orderBy(F.desc("incidents_total"), "division")
-
-
-def _km() -> Column:
-    return haversine_km(F.col("lat"), F.col("lon"), F.col("station_lat"), F.col("station_lon"))
-
-
-def _from_rows(facts: DataFrame, stations: DataFrame) -> DataFrame:
-    # The distance as a column of its own: inside the average Spark evaluates its parts anew.
-    measured = facts.join(stations, "area").select("division", "dr_no", _km().alias("km"))
-    return measured.groupBy("division").agg(
-        F.round(F.avg("km"), 2).alias("average_distance"),
-        F.count("dr_no").alias("incidents_total"),
-    )
-
-
-def _from_counts(facts: DataFrame, stations: DataFrame, salts: int) -> DataFrame:
     counts = facts.groupBy("area", "lat", "lon").agg(
         F.count("*").alias("rows"), F.count("dr_no").alias("numbered")
     )
-    measured = salted_join(counts, stations, "area", salts=salts).withColumn("km", _km())
+    small = route == "broadcast" and fits_broadcast(placed, max_broadcast_bytes)
+    if route == "auto" or small:
+        joined = counts.join(F.broadcast(placed) if small else placed, "area")
+    else:
+        joined = salted_join(counts, placed, "area", salts=salts)
+    km = haversine_km(F.col("lat"), F.col("lon"), F.col("station_lat"), F.col("station_lon"))
+    # The distance as a column of its own: inside the sum Spark evaluates its parts anew.
+    measured = joined.select("division", "rows", "numbered", km.alias("km"))
     weight = F.when(F.col("km").isNotNull(), F.col("rows"))
     mean = F.sum(F.col("km") * F.col("rows")) / F.sum(weight)
-    return measured.groupBy("division").agg(
+    per_division = measured.groupBy("division").agg(
         F.round(mean, 2).alias("average_distance"),
         F.sum("numbered").alias("incidents_total"),
     )
+    return per_division.orderBy(F.desc("incidents_total"), "division")

@@ -129,8 +129,16 @@ def test_big_k_cuts_hot_groups_in_parts(spark, monkeypatch):
     )
     order = [F.desc("id")]
     plain = rank_in_group(df, ["g"], order).filter("ranking <= 50")
-    monkeypatch.setattr(ranking, "GROUP_LIMIT", 20)
-    assert rows_of(top_k_per_group(df, ["g"], order, 50)) == rows_of(plain)
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(setting, "20")
+    try:
+        assert rows_of(top_k_per_group(df, ["g"], order, 50)) == rows_of(plain)
+        mapped = df.withColumn("m", F.create_map(F.lit("k"), "id"))
+        assert rows_of(top_k_per_group(mapped, ["g"], order, 50).drop("m")) == rows_of(plain)
+        only = df.select(F.create_map(F.lit("k"), "id").alias("m"))
+        assert top_k_per_group(only, [], [F.col("m")["k"]], 50).count() == 50
+    finally:
+        spark.conf.unset(setting)
 
 
 def test_extreme_values(spark):

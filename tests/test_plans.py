@@ -37,6 +37,7 @@ from incident_analytics.plans import (
     victims_by_income,
     victims_of_side,
 )
+from incident_analytics.sources.schemas import TABLES, canonicalize
 from incident_analytics.sources import (
     Conversion,
     convert,
@@ -236,15 +237,37 @@ def test_incidents_are_read_once(data, strategy):
     assert "CartesianProduct" not in plan and "Python" not in plan
 
 
-def test_lookups_too_big_to_broadcast(data, monkeypatch):
-    from incident_analytics.plans import victims
+def test_lookups_too_big_to_broadcast(data):
+    for limit, join in ((0, "SortMergeJoin"), (10**9, "BroadcastHashJoin")):
+        got = victims_by_income(
+            data["csv"], data["revgeo"], data["income"], strategy="broadcast",
+            max_broadcast_bytes=limit,
+        )
+        assert in_order(got) == victims_by_hand("top")
+        assert join in executed_plan(got)
 
-    monkeypatch.setattr(victims, "fits_broadcast", lambda df: False)
-    got = victims_by_income(
-        data["csv"], data["revgeo"], data["income"], strategy="broadcast"
-    )
-    assert in_order(got) == victims_by_hand("top")
-    assert "SortMergeJoin" in executed_plan(got)
+
+def test_both_sides_in_one_run(data):
+    got = victims_by_income(data["parquet"], data["revgeo"], data["income"], side="both")
+    expected = [(s, *row) for s in ("top", "bottom") for row in victims_by_hand(s)]
+    assert in_order(got) == expected
+    assert executed_plan(got).count("FileScan parquet") == 2  # one per era
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_incidents_are_counted_before_the_first_exchange(spark, data, strategy):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = victims_by_income(data["parquet"], data["revgeo"], data["income"], strategy=strategy)
+        lines = got._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "rptd_year" in line]
+    assert scans
+    for i in scans:
+        above = [line for line in reversed(lines[:i]) if "Exchange" in line or "HashAggregate" in line]
+        assert "HashAggregate" in above[0]
 
 
 # Distance to the station
@@ -295,7 +318,7 @@ def test_two_stations_of_one_area_and_bad_degrees(spark, data, route):
     extra = spark.createDataFrame(
         [(x, y, d, p) for x, y, _, d, _, p in more],
         "lon double, lat double, division string, prec int",
-    )
+    ).withColumn("prec", F.col("prec").cast("string"))
     got = in_order(station_distance(data["csv"], data["stations"].unionByName(extra), route))
     expected = distances_by_hand(STATIONS + more)
     assert {d: n for d, _, n in got} == {d: n for d, (_, n) in expected.items()}
@@ -315,14 +338,31 @@ def test_routes_run_as_named(data):
         station_distance(data["csv"], data["stations"], "by foot")
 
 
-def test_too_many_stations_to_broadcast(data, monkeypatch):
-    import importlib
-
-    module = importlib.import_module("incident_analytics.plans.station_distance")
-    monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
-    df = station_distance(data["csv"], data["stations"], "broadcast")
-    assert "SortMergeJoin" in executed_plan(df)
-    assert len(in_order(df)) == 3
+def test_too_many_stations_to_broadcast(data):
+    every = [
+        station_distance(data["csv"], data["stations"], route, max_broadcast_bytes=limit)
+        for route, limit in (("broadcast", 0), ("broadcast", 10**9), ("auto", 0), ("repartition", 0))
+    ]
+    assert "SortMergeJoin" in executed_plan(every[0])
+    rows = [in_order(df) for df in every]
+    assert len(rows[0]) == 3 and all(r == rows[0] for r in rows)
+
+
+def test_odd_codes_are_counted(spark):
+    raw = spark.createDataFrame(
+        [("1", "01", "101.0", "34.1", "-118.2"), ("A2", "1", "1A", "34.1", "-118.2"),
+         ("3", "1.0", " 12 ", "34.1", "-118.2"), ("4", "1", "210", "34.1", "-118.2")],
+        "`DR_NO` string, `AREA ` string, `Weapon Used Cd` string, LAT string, LON string",
+    )
+    columns = ["dr_no", "area", "weapon_cd", "lat", "lon"]
+    incidents = canonicalize(raw, TABLES["incidents"], columns)
+    station = spark.createDataFrame([(-118.2, 34.0, "C", "1")], "lon double, lat double, division string, prec string")
+    assert [(d, n) for d, _, n in in_order(station_distance(incidents, station))] == [("C", 3)]
+
+
+def test_code_prefix_is_pushed(data):
+    plan = executed_plan(station_distance(data["parquet"], data["stations"]))
+    assert "StringStartsWith(weapon_cd,1)" in plan
 
 
 def test_reports_are_lazy(spark, data):
