@@ -17,7 +17,9 @@ from incident_analytics.plans import (
     top_months_sql,
     victims_by_income,
 )
+from incident_analytics.functions.times import DAYPARTS, DAYPARTS_GREEK
 from incident_analytics.plans.station_distance import ROUTES
+from incident_analytics.plans.victims import SIDES
 from incident_analytics.sources import (
     Conversion,
     convert,
@@ -30,18 +32,34 @@ from incident_analytics.sources import (
 )
 from incident_analytics.sources.schemas import TABLES
 
+_LABELS = {"english": DAYPARTS, "greek": DAYPARTS_GREEK}
+# The columns that each report reads.
+_COLUMNS = {
+    "top-months": ("date_occ",),
+    "dayparts": ("time_occ", "premis_desc"),
+    "victims": ("rptd_year", "vict_descent", "lat", "lon"),
+    "station-distance": ("dr_no", "area", "weapon_cd", "lat", "lon"),
+}
+
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="incident_analytics")
     commands = parser.add_subparsers(dest="command", required=True)
 
+    def dialect(command: argparse.ArgumentParser) -> None:
+        command.add_argument("--in-sep", default=",", help="delimiter of the CSV read")
+        command.add_argument("--multi-line", action="store_true", help="quoted values of the CSV read have line breaks")
+
     def report(name: str, text: str) -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=text)
         command.add_argument("--incidents", nargs="+", required=True, help="one path per era")
         command.add_argument("--format", choices=("csv", "parquet"), default="csv")
-        command.add_argument("--out", help="folder to write to; without it the result is shown")
+        where = command.add_mutually_exclusive_group(required=True)
+        where.add_argument("--out", help="folder to write the whole result to")
+        where.add_argument("--show", type=int, metavar="N", help="print the first N rows instead")
         command.add_argument("--out-format", choices=("csv", "parquet"), default="csv")
         command.add_argument("--sep", default=",", help="delimiter of the CSV written")
+        dialect(command)
         return command
 
     months = report("top-months", "months with the most incidents of each year")
@@ -52,13 +70,15 @@ def _parser() -> argparse.ArgumentParser:
     dayparts = report("dayparts", "incidents on a kind of premises by part of the day")
     dayparts.add_argument("--api", choices=("dataframe", "sql"), default="dataframe")
     dayparts.add_argument("--premise", default="STREET")
+    dayparts.add_argument("--labels", choices=sorted(_LABELS), default="english")
+    dayparts.add_argument("--prefix2", action="store_true", help="take the first two digits for the hour, with --api dataframe")
 
     victims = report("victims", "victims by descent where incomes are highest or lowest")
     victims.add_argument("--revgeo", required=True)
     victims.add_argument("--income", required=True)
     victims.add_argument("--year", type=int, default=2015)
     victims.add_argument("-n", type=int, default=3)
-    victims.add_argument("--side", choices=("top", "bottom"), default="top")
+    victims.add_argument("--side", choices=SIDES, default="top")
     victims.add_argument("--strategy", choices=STRATEGIES, default="auto")
 
     distance = report("station-distance", "firearm incidents and distance to the station")
@@ -68,14 +88,18 @@ def _parser() -> argparse.ArgumentParser:
     copy = commands.add_parser("convert", help="CSV to Parquet")
     copy.add_argument("--table", choices=sorted(TABLES), help="give the copy this table's types")
     copy.add_argument("--partition-by", action="append", default=[])
-    copy.add_argument("source")
-    copy.add_argument("target")
+    copy.add_argument("paths", nargs="+", metavar="SOURCE TARGET", help="one pair per file")
+    dialect(copy)
     return parser
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """The result of the report that the arguments name."""
-    incidents = read_incidents(spark, *args.incidents, fmt=args.format)
+    dialect = {"fmt": args.format, "sep": args.in_sep, "multi_line": args.multi_line}
+    columns = list(_COLUMNS[args.command])
+    if args.command == "top-months" and args.format == "csv":
+        columns.append("date_occ_text")
+    incidents = read_incidents(spark, *args.incidents, columns=columns, **dialect)
     if args.command == "top-months":
         if args.api == "sql":
             ranked = top_months_sql(spark, incidents, args.k)
@@ -84,19 +108,22 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return top_months_report(ranked) if args.pad else ranked
     if args.command == "dayparts":
         if args.api == "sql":
-            return daypart_counts_sql(spark, incidents, args.premise)
-        return daypart_counts(incidents, args.premise)
+            if args.prefix2:
+                raise ValueError("--prefix2 needs --api dataframe")
+            return daypart_counts_sql(spark, incidents, args.premise, _LABELS[args.labels])
+        compat = "prefix2" if args.prefix2 else None
+        return daypart_counts(incidents, args.premise, _LABELS[args.labels], compat)
     if args.command == "victims":
         return victims_by_income(
             incidents,
-            read_revgeo(spark, args.revgeo, fmt=args.format),
-            read_income(spark, args.income, fmt=args.format),
+            read_revgeo(spark, args.revgeo, **dialect),
+            read_income(spark, args.income, **dialect),
             args.year,
             args.n,
             args.side,
             args.strategy,
         )
-    stations = read_stations(spark, args.stations, fmt=args.format)
+    stations = read_stations(spark, args.stations, **dialect)
     return station_distance(incidents, stations, args.route)
 
 
@@ -104,14 +131,20 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     """Carry out one command line."""
     args = _parser().parse_args(argv)
     if args.command == "convert":
-        job = Conversion(
-            args.source, args.target, args.table, partition_by=tuple(args.partition_by)
-        )
-        convert(spark, [job])
+        if len(args.paths) % 2:
+            raise ValueError("convert takes pairs of source and target")
+        jobs = [
+            Conversion(
+                source, target, args.table, args.in_sep,
+                partition_by=tuple(args.partition_by), multi_line=args.multi_line,
+            )
+            for source, target in zip(args.paths[::2], args.paths[1::2], strict=True)
+        ]
+        convert(spark, jobs)
         return
     result = build(spark, args)
     if args.out is None:
-        result.show(60, truncate=False)
+        result.show(args.show, truncate=False)
     elif args.out_format == "parquet":
         write_parquet(result, args.out)
     else:
