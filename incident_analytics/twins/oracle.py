@@ -6,6 +6,7 @@ text that the Spark side renders and parses back.
 
 from __future__ import annotations
 
+from incident_analytics.functions.times import DAYPARTS, DAYPARTS_GREEK
 from incident_analytics.operators.joins import STRATEGIES
 
 MONTHS = """
@@ -29,7 +30,8 @@ SELECT s_suppkey, s_name, 33.7e0 + s_nationkey * 0.02e0 AS y, -118.6e0 + s_natio
 FROM supplier"""
 
 LABEL = """
-CASE {code} WHEN '1-URGENT' THEN 'Urgent' WHEN '2-HIGH' THEN 'High' ELSE {code} END"""
+CASE {code} WHEN '1-URGENT' THEN 'Urgent' WHEN '2-HIGH' THEN 'High'
+     WHEN '3-MEDIUM' THEN 'High' ELSE {code} END"""
 
 DAYPART = """
 CASE WHEN h >= 5 AND h < 12 THEN 'Morning' WHEN h >= 12 AND h < 17 THEN 'Afternoon'
@@ -66,7 +68,16 @@ picked AS (
 )
 SELECT {LABEL.format(code="v")} AS victim_descent, count(*) AS total_victims
 FROM f WHERE zip IN (SELECT zip FROM f WHERE income IN (SELECT income FROM picked))
-GROUP BY 1"""
+GROUP BY v"""
+
+
+ODD = """
+SELECT CASE WHEN c_nationkey < 4 THEN 'PARK "' || c_name || '", EAST'
+  WHEN c_nationkey < 8 THEN '  ' || c_name || ',| ' WHEN c_nationkey < 12 THEN ''
+  WHEN c_nationkey < 16 THEN c_name || '"' WHEN c_nationkey < 20 THEN chr(92) || c_name
+  END{end} AS odd_name,
+  c_custkey, c_acctbal
+FROM customer"""
 
 
 def _base() -> dict[str, str]:
@@ -77,7 +88,7 @@ def _base() -> dict[str, str]:
     )
     labels = (
         f"SELECT {LABEL.format(code='o_orderpriority')} AS label, count(*) AS n "
-        "FROM orders GROUP BY 1"
+        "FROM orders GROUP BY o_orderpriority"
     )
     dayparts = (
         "WITH e AS (SELECT hour(ts) AS h FROM events WHERE event_type = 'click') "
@@ -88,6 +99,9 @@ def _base() -> dict[str, str]:
         " AS h FROM events WHERE event_type = 'click') "
         f"SELECT {DAYPART} AS daypart, count(*) AS n FROM e GROUP BY 1"
     )
+    greek = dayparts
+    for english, label in zip(DAYPARTS, DAYPARTS_GREEK, strict=True):
+        greek = greek.replace(f"'{english}'", f"'{label}'")
     joined = (
         "SELECT c_mktsegment, count(*) AS n, count(DISTINCT o_custkey) AS custs "
         "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment"
@@ -131,7 +145,34 @@ FROM r""",
         "filter_text_year": (
             "SELECT o_orderkey, o_custkey FROM orders WHERE year(o_orderdate) = 1995"
         ),
-        "currency_to_int": "SELECT p_partkey, CAST(floor(p_retailprice) AS INT) AS price FROM part",
+        "currency_to_int": """
+SELECT p_partkey, CAST(CASE WHEN p_size < 10 THEN floor(p_retailprice)
+  WHEN p_size < 20 THEN -floor(p_retailprice) WHEN p_size < 30 THEN floor(p_retailprice) * 10000000
+  WHEN p_size < 40 THEN NULL ELSE floor(p_retailprice) END AS BIGINT) AS price
+FROM part""",
+        "csv_quoted_roundtrip": ODD.format(end=""),
+        "csv_quoted_lines_roundtrip": ODD.format(end=" || chr(10)"),
+        "parquet_code_partitions": (
+            "SELECT c_custkey * 0.5e0 AS lat, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip "
+            "FROM customer"
+        ),
+        "topk_rows_per_mode": """
+SELECT * FROM (
+  SELECT l_returnflag, l_orderkey, l_linenumber, CAST(row_number() OVER (
+    PARTITION BY l_returnflag ORDER BY l_orderkey DESC, l_linenumber) AS INT) AS ranking
+  FROM lineitem) t
+WHERE ranking <= 2500""",
+        "decode_labels_table": """
+SELECT coalesce(n_name, CAST(s_nationkey AS VARCHAR)) AS label, n
+FROM (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) s
+LEFT JOIN (SELECT * FROM nation WHERE n_regionkey >= 2) k ON n_nationkey = s_nationkey""",
+        "daypart_counts_csv_sql": dayparts,
+        "daypart_counts_parquet": dayparts,
+        "daypart_counts_greek": greek,
+        "victims_both_sides": (
+            f"SELECT 'top' AS side, * FROM ({_victims('DESC')}) a "
+            f"UNION ALL SELECT 'bottom' AS side, * FROM ({_victims('ASC')}) b"
+        ),
         "filter_code_prefix": (
             "SELECT l_orderkey, l_linenumber FROM lineitem "
             "WHERE l_quantity = 1 OR l_quantity BETWEEN 10 AND 19"

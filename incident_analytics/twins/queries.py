@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_analytics.functions import (
@@ -18,13 +18,14 @@ from incident_analytics.functions import (
 )
 from incident_analytics.operators import (
     STRATEGIES,
+    decode_by_table,
     extreme_values,
     join_with,
     keep_matching,
     one_per_key,
-    register,
     register_labels,
     run_sql,
+    top_k_per_group,
 )
 from incident_analytics.plans import (
     daypart_counts,
@@ -36,7 +37,15 @@ from incident_analytics.plans import (
     top_months_sql,
     victims_by_income,
 )
-from incident_analytics.sources import Conversion, as_typed, convert, read_csv, read_parquet
+from incident_analytics.functions.times import DAYPARTS_GREEK
+from incident_analytics.sources import (
+    Conversion,
+    as_typed,
+    convert,
+    read_csv,
+    read_parquet,
+    read_table,
+)
 from incident_analytics.sources.scratch import scratch_path
 from incident_analytics.sources.writers import write_csv, write_parquet
 from incident_analytics.twins.domain import (
@@ -87,6 +96,39 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_typed(read_parquet(spark, path), CUSTOMER_TYPES)
 
 
+def _odd_text() -> Column:
+    """Names with doubled quotes, delimiters, outer blanks; empty and null ones."""
+    by = F.col("c_nationkey")
+    return (
+        F.when(by < 4, F.concat(F.lit('PARK "'), "c_name", F.lit('", EAST')))
+        .when(by < 8, F.concat(F.lit("  "), "c_name", F.lit(",| ")))
+        .when(by < 12, F.lit(""))
+        .when(by < 16, F.concat("c_name", F.lit('"')))
+        .when(by < 20, F.concat(F.lit("\\"), "c_name"))
+    )
+
+
+def csv_quoted_roundtrip(spark: SparkSession, sf_dir: str, lines: bool = False) -> DataFrame:
+    text = F.concat(_odd_text(), F.lit("\n")) if lines else _odd_text()
+    odd = table(spark, sf_dir, "customer").select(text.alias("odd_name"), "c_custkey", "c_acctbal")
+    path = scratch_path(spark, "odd-csv")
+    write_csv(odd, path, multi_line=lines)
+    schema = "odd_name string, c_custkey bigint, c_acctbal double"
+    return read_csv(spark, path, schema, multi_line=lines)
+
+
+def parquet_code_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.lpad(F.col("c_nationkey").cast("string"), 5, "0")
+    files = table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") * 0.5).alias("LAT"), F.col("c_acctbal").alias("LON"), code.alias("ZIPcode")
+    )
+    source, target = scratch_path(spark, "codes-csv"), scratch_path(spark, "codes-parquet")
+    write_csv(files, source)
+    convert(spark, [Conversion(source, target, "revgeo", partition_by=("zip",))])
+    read = read_table(spark, "revgeo", target, fmt="parquet")
+    return read.select("lat", "zip")
+
+
 def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch_path(spark, "customer-csv"), scratch_path(spark, "customer-parquet")
     write_csv(table(spark, sf_dir, "customer"), source)
@@ -118,7 +160,7 @@ def union_all_eras_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_us_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_incidents(spark, sf_dir).select(
-        F.col("dr_no").alias("o_orderkey"),
+        F.col("dr_no").cast("bigint").alias("o_orderkey"),
         F.year("date_occ").alias("y"),
         F.month("date_occ").alias("m"),
         F.day("date_occ").alias("d"),
@@ -133,6 +175,13 @@ def count_by_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _months(month_counts(order_incidents(spark, sf_dir)))
 
 
+def topk_rows_per_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows per group than Spark's group limit takes."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    order = [F.desc("l_orderkey"), F.col("l_linenumber")]
+    return top_k_per_group(items, ["l_returnflag"], order, 2500)
+
+
 def padded_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     every_month = top_months(order_incidents(spark, sf_dir), k=12)
     return _months(top_months_report(every_month))
@@ -178,10 +227,16 @@ def filter_text_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def currency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("$"), F.format_number("p_retailprice", 2))
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", currency_to_int(text).alias("price")
+    amount = F.format_number("p_retailprice", 2)
+    by = F.col("p_size")
+    text = (
+        F.when(by < 10, F.concat(F.lit("$"), amount))
+        .when(by < 20, F.concat(F.lit("-$"), amount))
+        .when(by < 30, F.concat(F.lit(" $"), F.format_number(F.floor("p_retailprice") * 10000000, 0)))
+        .when(by < 40, F.concat(F.lit("$"), amount, F.lit(" USD")))
+        .otherwise(F.regexp_replace(amount, ",", ""))
     )
+    return table(spark, sf_dir, "part").select("p_partkey", currency_to_int(text).alias("price"))
 
 
 def filter_code_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,15 +264,23 @@ def decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_labels_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register(table(spark, sf_dir, "orders"), "labelled_orders")
     register_labels(spark, "priority_label", LABELS)
     return run_sql(
         spark,
         "SELECT priority_label(o_orderpriority) AS label, count(*) AS n "
-        "FROM labelled_orders GROUP BY o_orderpriority",
+        "FROM {orders} GROUP BY o_orderpriority",
+        {"orders": table(spark, sf_dir, "orders")},
     )
 
 
+def decode_labels_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count("*").alias("n"))
+    keyed = counted.withColumn("code", F.col("s_nationkey").cast("string"))
+    nations = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") >= 2)
+    codes = nations.select(F.col("n_nationkey").cast("string").alias("k"), "n_name")
+    return decode_by_table(keyed, "code", codes, "k", "n_name", "label").select("label", "n")
+
+
 # Aggregates and extreme values
 
 
@@ -253,7 +316,8 @@ def join_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     same_lat, same_lon = (F.col(f"crime.{c}") == F.col(f"zips.{c}") for c in ("lat", "lon"))
     incidents = order_incidents(spark, sf_dir)
     placed = join_with(incidents.alias("crime"), zips.alias("zips"), same_lat & same_lon)
-    return placed.select(F.col("crime.dr_no").alias("o_orderkey"), F.col("zips.zip").alias("zip"))
+    order = F.col("crime.dr_no").cast("bigint")
+    return placed.select(order.alias("o_orderkey"), F.col("zips.zip").alias("zip"))
 
 
 def join_inner_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,6 +364,21 @@ def street_dayparts_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daypart_counts(events, "click").withColumnRenamed("crime_count", "n")
 
 
+def street_dayparts_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = through_parquet("incidents", event_file(spark, sf_dir))
+    return daypart_counts(events, "click").withColumnRenamed("crime_count", "n")
+
+
+def street_dayparts_csv_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = through_csv("incidents", event_file(spark, sf_dir))
+    return daypart_counts_sql(spark, events, "click").withColumnRenamed("crime_count", "n")
+
+
+def street_dayparts_greek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = direct("incidents", event_file(spark, sf_dir))
+    return daypart_counts(events, "click", DAYPARTS_GREEK).withColumnRenamed("crime_count", "n")
+
+
 def victims(
     spark: SparkSession, sf_dir: str, side: str, strategy: str = "auto", load: Callable = direct
 ) -> DataFrame:
@@ -330,6 +409,9 @@ def all_queries() -> dict[str, Query]:
         "csv_roundtrip": csv_roundtrip,
         "csv_roundtrip_pipe": partial(csv_roundtrip, sep="|"),
         "parquet_roundtrip": parquet_roundtrip,
+        "csv_quoted_roundtrip": csv_quoted_roundtrip,
+        "csv_quoted_lines_roundtrip": partial(csv_quoted_roundtrip, lines=True),
+        "parquet_code_partitions": parquet_code_partitions,
         "csv_to_parquet": csv_to_parquet,
         "union_all_eras": union_all_eras,
         "union_all_eras_sql": union_all_eras_sql,
@@ -342,6 +424,7 @@ def all_queries() -> dict[str, Query]:
         "topk_months_per_year_csv_sql": topk_months_per_year_csv_sql,
         "topk_months_per_year_parquet": topk_months_per_year_parquet,
         "topk_months_per_year_parquet_sql": topk_months_per_year_parquet_sql,
+        "topk_rows_per_mode": topk_rows_per_mode,
         "filter_equals": filter_equals,
         "filter_text_year": filter_text_year,
         "currency_to_int": currency_text,
@@ -350,6 +433,7 @@ def all_queries() -> dict[str, Query]:
         "haversine_km": station_km,
         "decode_labels": decode_labels,
         "decode_labels_sql": decode_labels_sql,
+        "decode_labels_table": decode_labels_table,
         "count_non_null": count_non_null,
         "avg_round": avg_round,
         "distinct_values": distinct_values,
@@ -363,6 +447,9 @@ def all_queries() -> dict[str, Query]:
         "daypart_counts": street_dayparts,
         "daypart_counts_sql": street_dayparts_sql,
         "daypart_counts_csv": street_dayparts_csv,
+        "daypart_counts_csv_sql": street_dayparts_csv_sql,
+        "daypart_counts_parquet": street_dayparts_parquet,
+        "daypart_counts_greek": street_dayparts_greek,
         "daypart_counts_prefix2": partial(street_dayparts, compat="prefix2"),
         "division_distance": division_distance,
         "division_distance_broadcast": partial(division_distance, route="broadcast"),
@@ -370,6 +457,7 @@ def all_queries() -> dict[str, Query]:
         "division_distance_csv": partial(division_distance, load=through_csv),
         "division_distance_parquet": partial(division_distance, load=through_parquet),
     }
+    found["victims_both_sides"] = partial(victims, side="both")
     for side in ("top", "bottom"):
         found[f"victims_{side}_income"] = partial(victims, side=side)
         found[f"victims_{side}_income_csv"] = partial(victims, side=side, load=through_csv)
