@@ -24,6 +24,9 @@ REPORT = ("said", "says", "called", "quote", "quoted", "wrote", "word", "term",
 SAMPLE, TERMS = 20_000, 128
 #: One edit is allowed in terms of so many bytes; tokens around a hit; bytes within which quotation marks stand.
 FUZZY_FROM, WINDOW, QUOTE_BYTES = 5, 4, 60
+#: Weight of a misspelled hit, and the share of clean texts in which near spellings of a term may
+#: stand before they count as other words.
+FUZZY_WEIGHT, FUZZY_CLEAN = 0.7, 0.002
 
 #: Bytes of tokens: letters, bytes of longer characters, and signs that stand in for letters.
 _TOKEN = np.zeros(256, bool)
@@ -124,6 +127,8 @@ class Automaton:
 class Model:
     terms: tuple[bytes, ...]
     weights: np.ndarray
+    #: Whether near spellings of a term count.
+    fuzzy: np.ndarray
     coefficients: np.ndarray
 
 
@@ -133,8 +138,9 @@ _FEATURES = 9
 class Scorer:
     """Features of texts from the hits of a lexicon and their windows."""
 
-    def __init__(self, terms: tuple[bytes, ...], weights: np.ndarray):
+    def __init__(self, terms: tuple[bytes, ...], weights: np.ndarray, fuzzy: np.ndarray | None = None):
         self.automaton, self.weights = Automaton(list(terms)), weights
+        self.fuzzy = np.ones(len(terms), bool) if fuzzy is None else fuzzy
         self.cues = [Automaton([w.encode() for w in words]) for words in (ADDRESS, REPORT)]
 
     def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -143,6 +149,8 @@ class Scorer:
         start, end, text = tokens(data, offsets)
         count = np.bincount(text, minlength=n)
         hit, term, edits = self.automaton.match(data, start, end)
+        counts = (edits == 0) | self.fuzzy[term]
+        hit, term, edits = hit[counts], term[counts], edits[counts]
         where = text[hit]
         address, report = (self._near(a, data, start, end, text, hit) for a in self.cues)
         quotes = np.concatenate(([0], np.cumsum(_quote_bytes(data))))
@@ -150,18 +158,18 @@ class Scorer:
         quoted = (quotes[start[hit]] > quotes[left]) & (quotes[right] > quotes[end[hit]])
         # A quoted or reported hit says less than one that addresses somebody.
         context = np.where(quoted, 0.4, 1.0) * np.where(report & ~address, 0.6, 1.0) * np.where(address, 1.3, 1.0)
-        weight = self.weights[term] * context
         exact = edits == 0
+        weight = self.weights[term] * context * np.where(exact, 1.0, FUZZY_WEIGHT)
         total = lambda x: np.bincount(where, x, n)
         best = np.zeros((2, n))
-        for i, some in enumerate((exact, ~exact)):
+        for i, some in enumerate((slice(None), ~exact)):
             np.maximum.at(best[i], where[some], weight[some])
-        pairs = np.unique(where[exact].astype(np.int64) << 20 | term[exact])
+        pairs = np.unique(where.astype(np.int64) << 20 | term)
         kinds = np.bincount(pairs >> 20, minlength=n)
         size = np.log1p(count)
         return np.stack([
-            np.ones(n), np.log1p(total(weight * exact)), np.log1p(total(weight * ~exact)), best[0], best[1],
-            np.log1p(kinds), np.log1p(total(weight * quoted)), total(weight * exact) / (1 + size), size,
+            np.ones(n), np.log1p(total(weight)), np.log1p(total(weight * ~exact)), best[0], best[1],
+            np.log1p(kinds), np.log1p(total(weight * quoted)), total(weight) / (1 + size), size,
         ], axis=1)
 
     @staticmethod
@@ -231,6 +239,28 @@ def _lexicon(rows: DataFrame, most: int) -> tuple[tuple[bytes, ...], np.ndarray]
     return terms, np.array([weights[t] for t in terms])
 
 
+def _fuzzy_terms(rows: DataFrame, terms: tuple[bytes, ...]) -> np.ndarray:
+    """Terms whose near spellings hardly stand in texts that are not toxic."""
+    sent = rows.sparkSession.sparkContext.broadcast(Automaton(list(terms)))
+
+    def near(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
+        data = LOWER[data]
+        start, end, text = tokens(data, offsets)
+        hit, term, edits = sent.value.match(data, start, end)
+        pairs = np.unique(text[hit[edits > 0]].astype(np.int64) << 20 | term[edits > 0])
+        first = np.searchsorted(pairs >> 20, np.arange(len(offsets))).astype(np.int32)
+        return {"terms": pa.ListArray.from_arrays(pa.array(first), pa.array((pairs & 0xFFFFF).astype(np.int32)))}
+
+    fields = [pa.field("toxic", pa.int32()), pa.field("terms", pa.list_(pa.int32()))]
+    found = rows.select("toxic", "text").mapInArrow(by_text(near, pa.schema(fields)), "toxic int, terms array<int>")
+    clean = found.filter("toxic = 0")
+    total = clean.count()
+    out = np.ones(len(terms), bool)
+    for r in clean.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
+        out[r["term"]] = r["count"] <= FUZZY_CLEAN * total
+    return out
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 40) -> np.ndarray:
     """Coefficients by Newton steps with a ridge."""
     w = np.zeros(x.shape[1])
@@ -254,7 +284,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     lexicon, weights = _lexicon(rows, terms)
     fields = [pa.field("toxic", pa.int32()), pa.field("x", pa.list_(pa.float64()))]
 
-    sent = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon, weights))
+    fuzzy = _fuzzy_terms(rows, lexicon)
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon, weights, fuzzy))
 
     def features(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
         return {"x": pa.array(list(sent.value.features(data, offsets)), pa.list_(pa.float64()))}
@@ -266,13 +297,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
         coefficients[0], coefficients[3] = -3.0, 1.0
     else:
         coefficients = _logistic(np.array([r["x"] for r in got]), y)
-    return Model(lexicon, weights, coefficients)
+    return Model(lexicon, weights, fuzzy, coefficients)
 
 
 def with_score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """The documents with a column of probabilities that they are toxic; every whole text, nulls as empty."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model.terms, model.weights))
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model.terms, model.weights, model.fuzzy))
     coefficients = model.coefficients
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -123,3 +123,12 @@ def test_mix(spark):
     assert out.columns == docs.columns
     assert sum(len((r.text or "").split()) for r in out.collect()) == sum(taken.values())
     assert mixing.with_copies(docs.limit(0), ["doc_id"]).count() == 0
+
+
+def test_bpe_long_and_repeated_rows(spark):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    long = "word " * 60_000
+    docs = spark.createDataFrame([(1, long), (1, long), (2, "x")], "doc_id long, text string")
+    rows = bpe.round_trip(docs, ranks).collect()
+    assert len(rows) == 3
+    assert {r.decoded_sha256 for r in rows if r.doc_id == 1} == {hashlib.sha256(long.encode()).hexdigest()}
