@@ -65,7 +65,9 @@ def with_copies(docs: DataFrame, columns: list[str], seed: int = 42, **mix: obje
     sizes = docs.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("source_size"))
     targets = source_targets(sizes, **mix).withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_id")), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    # The first 52 bits of a digest: another engine draws the same copies.
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))))
+    draw = F.conv(F.left(digest, F.lit(13)), 16, 10).cast("long") / F.lit(float(1 << 52))
     return (
         sized.join(targets, F.col("_of").eqNullSafe(F.col("_source")))
         .withColumn("_rate", rate)

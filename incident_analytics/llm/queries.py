@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, lm, minhash, mixing, pii, quality, spotsigs, suffix_tree, suffixes, toxicity
+from incident_analytics.llm import bpe, lm, minhash, mixing, oracles, pii, quality, spotsigs, suffix_tree, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -97,4 +97,9 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    """SQL by query name; the queries without are tested against plain Python."""
+    return {
+        "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
+        "op4_source_mix": oracles.SOURCE_MIX,
+        "op9_minhash_dedup": oracles.MINHASH_DEDUP,
+    }
