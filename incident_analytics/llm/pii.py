@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incident_analytics.llm.shared import stored
+
 #: Kinds in the order in which they are listed: the base ones, then those that only the classifier adds.
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("contact", "secret", "number", "code")
@@ -231,28 +233,42 @@ def estimate(rows: Iterable[tuple[tuple[int, ...], int, int, float]], rounds: in
     return Model(math.log(both[1]) - math.log(both[0]), {k: v for k, v in weights.items() if v}, says)
 
 
-def train(docs: DataFrame) -> Model:
-    """The model of all candidates of the documents; only counts per vote pattern reach the driver."""
-    found = with_candidates(with_base(docs.select(F.coalesce("text", F.lit("")).alias("text"))))
+def _found(docs: DataFrame) -> DataFrame:
+    return with_candidates(with_base(docs.withColumn("text", F.coalesce("text", F.lit("")))))
+
+
+def _trained(found: DataFrame) -> Model:
     columns = [*(f"v{i}" for i in range(_LABELERS)), "rank", "length"]
     counts = found.select(F.explode("candidates").alias("c")).select("c.*").groupBy(*columns).count().collect()
     return estimate([(tuple(r[f"v{i}"] for i in range(_LABELERS)), r["rank"], r["length"], r["count"]) for r in counts])
 
 
+def train(docs: DataFrame) -> Model:
+    """The model of all candidates of the documents; only counts per vote pattern reach the driver."""
+    return _trained(_found(docs.select("text")))
+
+
+def _with_spans(found: DataFrame, model: Model | None) -> DataFrame:
+    """Adds `spans`; without a model, the one of these rows, which are then searched once and kept for it."""
+    if model is None:
+        found = stored(found)
+        model = _trained(found)
+    added = F.transform(F.filter("candidates", lambda c: model.score(c) > 0), lambda c: _span(c["rank"], c))
+    return found.withColumn("spans", F.sort_array(F.concat("base", added))).drop("candidates")
+
+
 def with_spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Adds `base` and `spans`, arrays of (start, rank, end) in order, to documents with text (null: empty).
 
     Spans of different kinds may overlap, as the base patterns are searched apart.
     """
-    model = model or train(docs)
-    found = with_candidates(with_base(docs.withColumn("text", F.coalesce("text", F.lit("")))))
-    added = F.transform(F.filter("candidates", lambda c: model.score(c) > 0), lambda c: _span(c["rank"], c))
-    return found.withColumn("spans", F.sort_array(F.concat("base", added))).drop("candidates")
+    return _with_spans(_found(docs), model)
 
 
 def personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, base counts, the digest of the base spans and the list of all spans of each row."""
-    found = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = _with_spans(_found(read).drop("text"), model)
     count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
     return found.select(
         "doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(BASE)),
@@ -266,8 +282,8 @@ def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     Of spans that overlap, the first gives the name and all are taken out. Null text stays null.
     """
     columns = docs.columns
-    row = F.struct(*(F.col(c) for c in columns)).alias("_row")
-    found = with_spans(docs.select(row, "text"), model)
+    row = F.struct(F.col("text").isNull().alias("null text"), *(F.col(c) for c in columns if c != "text")).alias("_row")
+    found = _with_spans(_found(docs.select(row, "text")), model)
     found = found.withColumn("_ends", F.transform("spans", lambda s: s["end"]))
     found = _with_running(found, "_ends", F.lit(0), F.greatest)
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
@@ -279,5 +295,5 @@ def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     rest = F.substring("text", F.coalesce(F.array_max("_ends"), F.lit(0)) + 1, F.char_length("text"))
     clean = F.when(F.size("spans") > 0, F.concat(F.array_join(F.transform("spans", part), ""), rest)).otherwise(F.col("text"))
-    clean = F.when(F.col("_row.text").isNotNull(), clean)
+    clean = F.when(~F.col("_row")["null text"], clean)
     return found.withColumn("_clean", clean).select(*(F.col("_clean").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in columns))
