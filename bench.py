@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 from collections.abc import Callable
 from functools import partial
@@ -46,6 +47,9 @@ def session(cpus: int) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        # One machine: its threads share any folder.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="incident-analytics-bench-"))
     return spark
 
 
