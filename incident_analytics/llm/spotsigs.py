@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -116,3 +118,32 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         likeness(F.col("_own"), F.col("_new")).alias("near_edited"),
         likeness(F.col("_own"), F.col("_next")).alias("near_next"),
     )
+
+
+def near_matches(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """Pairs (a, b, likeness), a < b, of fingerprint classes with a likeness of `least` or more.
+
+    A class is named by the smallest doc_id of its rows; equal fingerprints are one class, and texts without
+    signatures match nothing. Sets are partitioned by length: two sets that match lie in the same
+    partition or in neighbouring ones, so each also goes to the next one as a guest. Within a
+    partition only sets meet that share one of their rarest signatures, as many as a match must have in common
+    with them (prefix filter), and the sizes decide before the Jaccard similarity is worked out.
+    """
+    signed = with_signatures(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), "text", "_own")
+    sets = signed.groupBy(F.col("_own").alias("sigs")).agg(F.min("doc_id").alias("id")).filter("size(sigs) > 0 and id is not null")
+    single = sets.select("id", F.explode("sigs").alias("sig"))
+    often = single.groupBy("sig").agg(F.count("*").alias("n"))
+    ranked = single.join(often, "sig").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "sig"))).alias("ranked"))
+    size = F.size("ranked")
+    head = F.slice("ranked", F.lit(1), (size - F.ceil(size * F.lit(least) - 1e-9) + 1).cast("int"))
+    own = F.floor(F.log(size.cast("double")) / F.lit(-math.log(least)) + 1e-9)
+    keyed = ranked.join(sets, "id").select("id", "sigs", own.alias("part"), F.explode(F.transform(head, lambda r: r["sig"])).alias("sig"))
+    # The smaller set comes as a guest from the partition below, or both are at home.
+    home = keyed.select("part", "sig", F.col("id").alias("x"), F.col("sigs").alias("x_sigs"))
+    guests = keyed.select(F.explode(F.array(F.struct("part", F.lit(False).alias("guest")), F.struct((F.col("part") + 1).alias("part"), F.lit(True).alias("guest")))).alias("p"), "sig", F.col("id").alias("y"), F.col("sigs").alias("y_sigs"))
+    guests = guests.select("p.part", "p.guest", "sig", "y", "y_sigs")
+    met = home.join(guests, ["part", "sig"]).filter(
+        "(guest or x < y) and x <> y"
+    ).filter(F.least(F.size("x_sigs"), F.size("y_sigs")) >= F.lit(least) * F.greatest(F.size("x_sigs"), F.size("y_sigs")))
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "x_sigs", "y_sigs").dropDuplicates(["a", "b"])
+    return pairs.select("a", "b", likeness(F.col("x_sigs"), F.col("y_sigs"), least).alias("likeness")).filter(F.col("likeness") >= least)

@@ -102,6 +102,27 @@ def test_fingerprints(spark, monkeypatch):
     assert spotsigs.fingerprints(odd.limit(0)).count() == 0
 
 
+def test_near_fingerprints(spark):
+    rng = random.Random(9)
+    bases = [[rng.choice(["the", "of", *(f"w{i}" for i in range(60))]) for _ in range(rng.randint(2, 90))] for _ in range(6)]
+    rows = []
+    for i in range(90):
+        words = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 1, 2, 6])):
+            words[rng.randrange(len(words))] = f"w{rng.randint(0, 59)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame([*rows, (200, None), (201, ""), (None, "the w1 w2")], "doc_id long, text string")
+    sets = {r.doc_id: frozenset(r._own) for r in spotsigs.with_signatures(docs.filter("doc_id < 100"), "text", "_own").collect()}
+    least = {}
+    for doc in sorted(sets):
+        least.setdefault(sets[doc], doc)
+    classes = [(d, s) for s, d in least.items() if s]
+    want = {(a, b): len(x & y) / len(x | y) for a, x in classes for b, y in classes if a < b and len(x & y) >= 0.8 * len(x | y)}
+    got = {(r.a, r.b): r.likeness for r in spotsigs.near_matches(docs).collect()}
+    assert want and got == pytest.approx(want)
+    assert spotsigs.near_matches(docs.limit(0)).count() == 0
+
+
 def test_log_frequency_filter():
     keys = np.arange(1, 20_001, dtype=np.uint64) * np.uint64(7919)
     levels = np.random.default_rng(1).integers(1, 12, len(keys))
