@@ -3,26 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.arrays import LOWER, Words, mix, slices, sums, utf8
-from incident_analytics.llm.shared import stored
+from incident_analytics.llm.arrays import LOWER, Words, mix, slices, utf8
+from incident_analytics.llm.repeats import CHUNK_BYTES, _packed, _short, _unpacked
 
 #: The hash that stands for the end of a text.
 END = np.uint64(0x656E64)
-#: Words that take part in n-grams, the most frequent ones; ids fit into 16 bits.
+#: Without effect, kept for callers that set it: all words take part in n-grams.
 VOCABULARY = 1 << 16
 #: Counts are kept as levels: level q stands for BASE ** (q - 1) at least.
 BASE, LEVELS = 2**0.5, 64
 #: What each n-gram count gives to words that did not follow.
 DISCOUNT = 0.75
-#: Bits per inserted level, probes per level, bits of a block, and the largest filter.
-BITS_PER_ITEM, PROBES, BLOCK_BITS, MOST_BITS = 10, 6, 1 << 19, 1 << 28
+#: Bits per inserted level, probes per level, and bits of a block.
+BITS_PER_ITEM, PROBES, BLOCK_BITS = 10, 6, 1 << 19
 
 
 class LogFrequencyFilter:
@@ -54,6 +53,16 @@ class LogFrequencyFilter:
                 bits[LogFrequencyFilter.place(some, level, probe)] = True
         return np.packbits(bits).tobytes()
 
+    @staticmethod
+    def of(keys: np.ndarray, levels: np.ndarray) -> LogFrequencyFilter:
+        """Of as many blocks as the keys need; none without keys."""
+        n_blocks = -(-int(levels.sum()) * BITS_PER_ITEM // BLOCK_BITS)
+        block = LogFrequencyFilter.block_of(keys, max(n_blocks, 1))
+        order = np.argsort(block, kind="stable")
+        keys, levels, edges = keys[order], levels[order], np.searchsorted(block[order], np.arange(n_blocks + 1))
+        built = [np.frombuffer(LogFrequencyFilter.build_block(keys[a:b], levels[a:b]), np.uint8) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return LogFrequencyFilter(np.array(built).reshape(n_blocks, BLOCK_BITS // 8))
+
     def levels(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         if not len(self.blocks):
@@ -70,25 +79,6 @@ class LogFrequencyFilter:
         return out
 
 
-@dataclass(frozen=True)
-class Model:
-    """What workers need besides the filter's blocks: the vocabulary, sorted by hash, with count and rest weight."""
-
-    hashes: np.ndarray
-    counts: np.ndarray
-    #: Share of a history's probability that goes to words outside its kept n-grams.
-    rest: np.ndarray
-    tokens: int
-    distinct: int
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Place in the vocabulary, or -1."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
-
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts, each with its end, and where each text begins (and the last ends)."""
     words = Words(LOWER[data], offsets)
@@ -131,140 +121,196 @@ def _counted(keys_of):
     return run
 
 
-def _bigrams(vocabulary: np.ndarray):
-    model = Model(vocabulary, vocabulary, vocabulary, 0, 0)
+class _Keys:
+    """The different keys of a chunk by bucket and value, where each given key stands among them, and its trained count."""
+
+    def __init__(self, keys: np.ndarray, trained: np.ndarray, n_buckets: int):
+        different, which = np.unique(keys, return_inverse=True)
+        bucket = (different % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.keys, self.at = different[order], place[which]
+        self.n = np.bincount(self.at, trained, len(order)).astype(np.int64)
+        self.edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+
+
+class _Chunk:
+    """Tokens of the documents of a chunk, its words, and its bigrams with the word that each begins with."""
+
+    def __init__(self, table: pa.Table, n_buckets: int):
+        table = table.combine_chunks()
+        data, offsets = utf8(table.column("text").chunk(0))
+        read = [_tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
+        tokens = np.concatenate([t for t, _ in read])
+        self.table, self.size = table, np.concatenate([np.diff(f) for _, f in read])
+        self.text = np.repeat(np.arange(len(self.size)), self.size)
+        trained = table.column("trained").to_numpy()[self.text]
+        #: Tokens that stand behind another one of their text.
+        self.behind = np.flatnonzero(np.append(False, self.text[1:] == self.text[:-1]))
+        self.words = _Keys(tokens, trained, n_buckets)
+        self.pairs = _Keys(mix(mix(tokens[self.behind - 1]) + tokens[self.behind]), trained[self.behind], n_buckets)
+        self.history = np.zeros(len(self.pairs.keys), np.int64)
+        self.history[self.pairs.at] = self.words.at[self.behind - 1]
+
+    def answered(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Count and mass of each word, level of each bigram, and the level again where the chunk is its owner."""
+        n, mass = np.zeros(len(self.words.keys), np.int64), np.zeros(len(self.words.keys))
+        level, own = np.zeros((2, len(self.pairs.keys)), np.uint8)
+        for bucket, step, body, levels, owned in zip(*(answers.column(c).to_pylist() for c in ("bucket", "step", "body", "level", "own")), strict=True):
+            words, pairs = (slice(*k.edges[bucket : bucket + 2]) for k in (self.words, self.pairs))
+            if step == 1:
+                n[words] = _unpacked(body)[0]
+                level[pairs], own[pairs] = np.frombuffer(levels, np.uint8), np.frombuffer(owned, np.uint8)
+            else:
+                mass[words] = _unpacked(body)[0].view(np.float64)
+        return n, mass, level, own
+
+
+_KEY_BYTES = 5
+_TO_BUCKET, _MASS = "bucket long, chunk long, words binary, pairs binary, n binary", "bucket long, chunk long, words binary"
+_TO_CHUNK = "chunk long, bucket long, step int, body binary, level binary, own binary"
+
+
+def _send_keys(n_buckets: int):
+    """Each word and bigram of a chunk once, with how often it stands in training texts of the chunk."""
+
+    def run(table: pa.Table) -> pa.Table:
+        chunk = _Chunk(table, n_buckets)
+        words, pairs = chunk.words, chunk.pairs
+        out: dict[str, list] = {n: [] for n in ("bucket", "chunk", "words", "pairs", "n")}
+        for b in range(n_buckets):
+            w, p = slice(*words.edges[b : b + 2]), slice(*pairs.edges[b : b + 2])
+            body = _packed(np.stack([words.keys[w].view(np.int64), words.n[w]]))
+            for name, value in zip(out, (b, table.column("chunk")[0].as_py(), body, _short(pairs.keys[p], _KEY_BYTES), _packed(pairs.n[None, p])), strict=True):
+                out[name].append(value)
+        return pa.table({n: pa.array(v, pa.int64() if n in ("bucket", "chunk") else pa.binary()) for n, v in out.items()})
 
-    def keys_of(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-        ids = model.ids(tokens)
-        fits = (ids[:-1] >= 0) & (ids[1:] >= 0)
-        fits[first[1:-1] - 1] = False
-        return (ids[:-1][fits] << 16 | ids[1:][fits]).astype(np.uint64)
+    return run
 
-    return keys_of
 
+def _answers(table: pa.Table, step: int, body: list[bytes], level: list[bytes], own: list[bytes]) -> pa.Table:
+    made = {"body": body, "level": level, "own": own}
+    steps = pa.array([step] * table.num_rows, pa.int32())
+    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "step": steps} | {n: pa.array(v, pa.binary()) for n, v in made.items()})
 
-def _block_rows(table: pa.Table) -> pa.Table:
-    keys, levels = table.column("key").to_numpy().view(np.uint64), table.column("level").to_numpy()
-    return pa.table({"block": table.column("block")[:1], "bits": pa.array([LogFrequencyFilter.build_block(keys, levels)], pa.binary())})
 
+def _count(table: pa.Table) -> pa.Table:
+    """Exact counts of the words and the filter's levels of the bigrams that each chunk sent.
 
-def train(docs: DataFrame) -> tuple[DataFrame, Model, np.ndarray]:
-    """Exact counts (key, n) of all tokens of the texts, the model, and the filter's blocks.
+    `own` repeats the level put in, for one of the chunks that sent a bigram, so that each is added up once.
+    """
+    heads = [_unpacked(x) for x in table.column("words").to_pylist()]
+    keys, n = np.concatenate(heads, axis=1)
+    _, which = np.unique(keys, return_inverse=True)
+    total = np.bincount(which, n).astype(np.int64)[which] if len(which) else n
+    cuts = np.cumsum([h.shape[1] for h in heads])[:-1]
+    body = [_packed(x[None]) for x in np.split(total, cuts)]
+    raw = [np.frombuffer(x, np.uint8).reshape(-1, _KEY_BYTES) for x in table.column("pairs").to_pylist()]
+    wide = np.zeros((sum(map(len, raw)), 8), np.uint8)
+    np.concatenate(raw, out=wide[:, 8 - _KEY_BYTES :])
+    n = np.concatenate([_unpacked(x)[0] for x in table.column("n").to_pylist()])
+    pairs, lead, which = np.unique(wide.view(">u8").ravel().astype(np.uint64), return_index=True, return_inverse=True)
+    total = np.bincount(which, n, len(pairs))
+    level = np.zeros(len(pairs), np.int64)
+    level[total > 0] = _levels_of(total[total > 0])
+    read = LogFrequencyFilter.of(pairs[level > 0], level[level > 0]).levels(pairs).astype(np.uint8)[which]
+    own = np.zeros(len(which), np.uint8)
+    own[lead] = level
+    cuts = np.cumsum([len(x) for x in raw])[:-1]
+    return _answers(table, 1, body, *([x.tobytes() for x in np.split(y, cuts)] for y in (read, own)))
+
+
+def _send_mass(n_buckets: int):
+    """What the bigrams that the chunk owns take of each of its words' probability, times the word's count."""
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = _Chunk(table, n_buckets)
+        *_, own = chunk.answered(answers)
+        taken = np.where(own > 0, _least_count(own.astype(np.int64)) - DISCOUNT, 0.0)
+        mass = np.bincount(chunk.history, taken, len(chunk.words.keys))
+        both = np.stack([chunk.words.keys.view(np.int64), mass.view(np.int64)])
+        edges = chunk.words.edges
+        body = [_packed(both[:, edges[b] : edges[b + 1]]) for b in range(n_buckets)]
+        return pa.table({"bucket": np.arange(n_buckets), "chunk": pa.array([table.column("chunk")[0].as_py()] * n_buckets, pa.int64()), "words": pa.array(body, pa.binary())})
+
+    return run
 
-    Only counts are shuffled. The driver gets the VOCABULARY most frequent words, their rest weights and the
-    filter, of MOST_BITS at most: where the n-grams ask for more, the smallest counts that don't fit are left to
-    the rest weight, so the broadcast stays bounded and the probabilities of a history still sum to 1 at most.
+
+def _add_mass(table: pa.Table) -> pa.Table:
+    heads = [_unpacked(x) for x in table.column("words").to_pylist()]
+    keys, mass = np.concatenate(heads, axis=1)
+    _, which = np.unique(keys, return_inverse=True)
+    # Levels' least counts less the discount are multiples of a quarter, so sums don't depend on their order.
+    total = np.bincount(which, mass.view(np.float64))[which] if len(which) else np.zeros(0)
+    body = [_packed(x.view(np.int64)[None]) for x in np.split(total, np.cumsum([h.shape[1] for h in heads])[:-1])]
+    return _answers(table, 2, body, *[[b""] * len(heads)] * 2)
+
+
+def _score(n_buckets: int, norm: float):
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = _Chunk(table, n_buckets)
+        n, mass, level, _ = chunk.answered(answers)
+        # Share of a history's probability that goes to words outside its n-grams.
+        rest = np.maximum(1 - mass / np.maximum(n, 1), 1e-6)
+        word = chunk.words.at
+        h, w = word[chunk.behind - 1], word[chunk.behind]
+        alone = (n[w] + 0.1) / norm
+        # A word that training doesn't have follows nothing there, whatever the filter says.
+        least = np.where(n[w] > 0, _least_count(level.astype(np.int64))[chunk.pairs.at], 0)
+        behind = np.maximum(least - DISCOUNT, 0) / np.maximum(n[h], 1) + rest[h] * alone
+        # What a known history changes: log10 of the mixed probability over that of the word alone.
+        gain = np.where(n[h] > 0, np.log10(behind / alone), 0.0)
+        texts = len(chunk.size)
+        made = pa.table({
+            "doc_id": chunk.table.column("doc_id"), "n_tokens": chunk.size.astype(np.int64),
+            "n_known": np.bincount(chunk.text, n[word] > 0, texts).astype(np.int64),
+            "base_score": np.bincount(chunk.text, (np.log10(n + 0.1) - np.log10(norm))[word], texts),
+            "gain": np.bincount(chunk.text[chunk.behind], gain, texts),
+        })
+        return made.filter(chunk.table.column("scored"))
+
+    return run
+
+
+def _scored(rows: DataFrame) -> DataFrame:
+    """Scores of the rows that are `scored`, by all n-grams of those that are `trained`.
+
+    Texts are dealt to chunks and shuffled once. A chunk sends each of its words and bigrams once, with its
+    trained count; buckets add them up, put the bigrams into their part of the filter and answer. Then chunks send
+    what the bigrams take from each word, and buckets answer the sums. Nothing goes to the driver or to all tasks
+    but two totals.
     """
-    spark, texts = docs.sparkSession, docs.select("text")
-    counts = stored(texts.mapInArrow(_counted(lambda t, _: t), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    size = rows.select(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
+    n_chunks = max(-(-size // CHUNK_BYTES), 1)
+    counts = rows.filter("trained").select("text").mapInArrow(_counted(lambda t, _: t), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "key").limit(VOCABULARY).toPandas()
-    hashes = top["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    hashes, count = hashes[order], top["n"].to_numpy(np.int64)[order]
-    level = F.least(F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(BASE))) + 1e-9) + 1, F.lit(LEVELS)).cast("long")
-    pairs = texts.mapInArrow(_counted(_bigrams(hashes)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    # A count of one says nothing that the rest weight doesn't.
-    pairs = stored(pairs.filter("n > 1").withColumn("level", level))
-    sizes = {r["level"]: r["n"] for r in pairs.groupBy("level").agg(F.count("*").alias("n")).collect()}
-    least = LEVELS + 1
-    items = 0
-    for q in sorted(sizes, reverse=True):
-        if (items + q * sizes[q]) * BITS_PER_ITEM > MOST_BITS:
-            break
-        items, least = items + q * sizes[q], q
-    n_blocks = max(-(-items * BITS_PER_ITEM // BLOCK_BITS), 1) if items else 0
-    kept = pairs.filter(F.col("level") >= least)
-    rest = np.ones(len(hashes))
-    blocks = np.zeros((0, BLOCK_BITS // 8), np.uint8)
-    if n_blocks:
-        lower = F.ceil(F.pow(F.lit(BASE), F.col("level") - 1) - 1e-9)
-        mass = kept.groupBy(F.shiftright("key", 16).cast("int").alias("id")).agg(F.sum(lower - F.lit(DISCOUNT)).alias("mass")).toPandas()
-        rest[mass["id"]] = np.maximum(1 - mass["mass"].to_numpy(float) / count[mass["id"]], 1e-6)
-
-        def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                block = LogFrequencyFilter.block_of(batch.column("key").to_numpy().view(np.uint64), n_blocks)
-                yield pa.RecordBatch.from_arrays([pa.array(block), batch.column("key"), batch.column("level")], ["block", "key", "level"])
-
-        dealt = kept.select("key", "level").mapInArrow(placed, "block long, key long, level long")
-        built = dealt.groupBy("block").applyInArrow(_block_rows, "block long, bits binary")
-        blocks = np.zeros((n_blocks, BLOCK_BITS // 8), np.uint8)
-        for row in built.toLocalIterator():
-            blocks[row["block"]] = np.frombuffer(row["bits"], np.uint8)
-    return counts, Model(hashes, count, rest, int(whole["n"]), int(whole["v"])), blocks
-
-
-def scores(docs: DataFrame, training: DataFrame) -> DataFrame:
+    norm = whole["n"] + 0.1 * (whole["v"] + 1)
+    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)))
+
+    def by_chunk(df: DataFrame):
+        return df.groupBy("chunk")
+
+    sent = by_chunk(chunked).applyInArrow(_send_keys(n_chunks), _TO_BUCKET)
+    levels = sent.groupBy("bucket").applyInArrow(_count, _TO_CHUNK)
+    taken = by_chunk(chunked).cogroup(by_chunk(levels)).applyInArrow(_send_mass(n_chunks), _MASS)
+    masses = taken.groupBy("bucket").applyInArrow(_add_mass, _TO_CHUNK)
+    shape = "doc_id long, n_tokens long, n_known long, base_score double, gain double"
+    out = by_chunk(chunked).cogroup(by_chunk(levels.union(masses))).applyInArrow(_score(n_chunks, norm), shape)
+    base = F.col("base_score") if whole["n"] else F.lit(0.0) * F.col("n_tokens")
+    return out.select("doc_id", "n_tokens", "n_known", F.lit(whole["n"]).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+
+
+def scores(docs: DataFrame, training: DataFrame | Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row of `docs`.
 
-    base_score adds up the smoothed exact unigrams; score mixes in the n-grams behind known histories.
-    Counts of frequent words go to the workers; each other word of a text is joined with its exact
-    count, one small row per text and word. A null or empty text has its end only. Repeated rows and
+    training: the rows to learn from, or a condition that says which of `docs` they are, so that texts travel once.
+    base_score adds up the smoothed exact unigrams; score mixes in the n-grams behind known histories: all
+    of them, with the counts that the filter gives. A null or empty text has its end only. Repeated rows and
     ids are scored alone. Without training rows each token has probability 1.
     """
-    spark = docs.sparkSession
-    counts, model, blocks = train(training)
-    sent = spark.sparkContext.broadcast((model, blocks))
-    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("top_known", pa.int64()), ("top_sum", pa.float64()), ("gain", pa.float64()), ("rare", longs), ("times", ints)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, blocks = sent.value
-        grams = LogFrequencyFilter(blocks)
-        norm = model.tokens + 0.1 * (model.distinct + 1)
-        logs = np.log10(np.append(model.counts, 1) + 0.1)
-        for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            for a, b in slices(offsets):
-                tokens, first = _tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                ids = model.ids(tokens)
-                top = ids >= 0
-                history = np.append(-1, ids[:-1])
-                history[first[:-1]] = -1
-                # What a history changes: log10 of the mixed probability over that of the word alone.
-                gain = np.where(history >= 0, np.log10(np.append(model.rest, 1)[history]), 0.0)
-                both = np.flatnonzero(top & (history >= 0))
-                h, w = history[both], ids[both]
-                least = _least_count(grams.levels((h << 16 | w).astype(np.uint64)))
-                alone = (model.counts[w] + 0.1) / norm
-                behind = np.maximum(least - DISCOUNT, 0) / model.counts[h] + model.rest[h] * alone
-                gain[both] = np.log10(behind / alone)
-                text = np.repeat(np.arange(b - a), np.diff(first))
-                rare, where = tokens[~top], text[~top]
-                order = np.argsort(rare, kind="stable")
-                order = order[np.argsort(where[order], kind="stable")]
-                rare, where = rare[order], where[order]
-                fresh = np.ones(len(rare), bool)
-                fresh[1:] = (rare[1:] != rare[:-1]) | (where[1:] != where[:-1])
-                at = np.flatnonzero(fresh)
-                edges = np.searchsorted(where[at], np.arange(b - a + 1)).astype(np.int32)
-                n = b - a
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(a, n), pa.array(np.diff(first)), pa.array(sums(top, first)),
-                        pa.array(np.bincount(text, np.where(top, logs[ids], 0), n)), pa.array(np.bincount(text, gain, n)),
-                        pa.ListArray.from_arrays(pa.array(edges), pa.array(rare[at].view(np.int64))),
-                        pa.ListArray.from_arrays(pa.array(edges), pa.array(np.diff(np.append(at, len(rare))).astype(np.int32))),
-                    ],
-                    schema=schema,
-                )
-
-    read = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    rows = read.mapInArrow(run, "doc_id long, n_tokens long, top_known long, top_sum double, gain double, rare array<long>, times array<int>")
-    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()))
-    asked = rows.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("_row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
-    rare = (
-        asked.join(counts, "key")
-        .groupBy("_row")
-        .agg(F.sum("times").alias("known"), F.sum(F.col("times") * (F.log10(F.col("n") + 0.1) - F.lit(-1.0))).alias("above"))
-    )
-    norm = float(np.log10(model.tokens + 0.1 * (model.distinct + 1)))
-    # A word without a count adds log10(0.1) = -1; the join only brings what others add above that.
-    n_rare = F.col("n_tokens") - F.col("top_known")
-    base = F.col("top_sum") - n_rare + F.coalesce("above", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)
-    base = base if model.tokens else F.lit(0.0) * F.col("n_tokens")
-    return rows.join(rare, "_row", "left").select(
-        "doc_id", "n_tokens", (F.col("top_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
-    )
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    if isinstance(training, Column):
+        return _scored(docs.select(doc_id, "text", F.lit(True).alias("scored"), F.coalesce(training, F.lit(False)).alias("trained")))
+    rows = docs.select(doc_id, "text", F.lit(True).alias("scored"), F.lit(False).alias("trained"))
+    return _scored(rows.unionAll(training.select(doc_id, "text", F.lit(False).alias("scored"), F.lit(True).alias("trained"))))

@@ -55,7 +55,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
-    out = lm.scores(docs, docs.filter(~held_out)).withColumn("held_out", held_out)
+    out = lm.scores(docs, ~held_out).withColumn("held_out", held_out)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

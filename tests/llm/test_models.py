@@ -158,6 +158,18 @@ def test_language_model(spark, monkeypatch):
     assert {r.score for r in lm.scores(docs, training.limit(0)).collect()} == {0.0}
 
 
+def test_all_bigrams_count(spark):
+    # More words than 16 bits hold, and pairs that stand once; every one of them changes what follows.
+    words = [f"w{i}" for i in range(70_000)]
+    docs = spark.createDataFrame([(0, " ".join(words)), (1, "w69998 w69999"), (2, "w69999 w5")], "doc_id long, text string")
+    for got in (lm.scores(docs, F.col("doc_id") == 0), lm.scores(docs, docs.filter("doc_id = 0"))):
+        gain = {r.doc_id: r.score - r.base_score for r in got.collect()}
+        norm = 70_001 + 0.1 * 70_002
+        seen, unseen = (math.log10((x + 0.75 * 1.1 / norm) / (1.1 / norm)) for x in (0.25, 0.0))
+        assert gain[1] == pytest.approx(2 * seen)
+        assert gain[2] == pytest.approx(2 * unseen)
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
