@@ -9,7 +9,9 @@ is a run of windows with one anchor. Documents are dealt to chunks, and only thi
    bucket finds equal windows in all segments it got and answers where each first occurs;
 3. each chunk marks what its windows cover and finishes its documents.
 
-A passage in every document is one segment per chunk, whatever the number of copies in the chunk.
+A passage in every document is one segment per chunk, whatever the number of copies in the chunk. Its edges, and
+any phrase shorter than a window that many texts share, are one key with as many different segments: the windows
+of a key with more than HEAVY of them go alone, each with its own hash as key.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from incident_analytics.llm.arrays import Rolling, slices, utf8
 _LOW = np.uint64(0xFFFFFFFF)
 #: Bytes of text of a chunk, and buckets per chunk.
 CHUNK_BYTES, BUCKETS_PER_CHUNK = 8 << 20, 2
+#: Different segments of one key that may meet in a bucket; beyond it their windows are dealt one by one.
+HEAVY = 4096
 
 
 def windows_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -51,6 +55,14 @@ class Segments:
     digest: np.ndarray
     doc: np.ndarray
 
+    def alone(self, some: np.ndarray, values: np.ndarray, length: int) -> Segments:
+        """Each window of some segments as a segment whose key is the hash of all its units."""
+        count = self.count[some]
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        start = np.repeat(self.start[some], count) + within
+        key = Rolling(values).run(start, start + length)
+        return Segments(start, np.ones(len(start), np.int64), key, key, np.repeat(self.doc[some], count))
+
     @staticmethod
     def of(values: np.ndarray, first: np.ndarray, length: int, gram: int) -> Segments:
         """values: a hash per unit; first: first unit of each document, and the end."""
@@ -92,6 +104,11 @@ class Chunk:
         column = table.column("text")
         self.data, self.offsets = utf8(column.chunk(0) if column.num_chunks else pa.array([], pa.string()))
 
+    def values(self, part: int) -> np.ndarray:
+        """The hash of each unit of a part."""
+        a, b = list(slices(self.offsets))[part]
+        return self.units.read(self.data[self.offsets[a] : self.offsets[b]], self.offsets[a : b + 1] - self.offsets[a])[0]
+
     def parts(self) -> Iterator[tuple[int, int, np.ndarray, tuple, Segments]]:
         for a, b in slices(self.offsets):
             data = self.data[self.offsets[a] : self.offsets[b]]
@@ -107,6 +124,36 @@ def _keys(found: list[Segments], n_buckets: int) -> tuple[np.ndarray, np.ndarray
     return keys[order], n[order] > 1, np.searchsorted(bucket[order], np.arange(n_buckets + 1))
 
 
+def _different(found: list[Segments], keys: np.ndarray) -> np.ndarray:
+    """A byte per key for its number of different segments: c stands for 2 ** (c / 2) at least. One or two are 0."""
+    key, digest = (np.concatenate([getattr(s, n) for s in found] or [np.zeros(0, np.uint64)]) for n in ("key", "digest"))
+    ranked, n = np.unique(key, return_counts=True)
+    ranked = ranked[n > 2]
+    out = np.zeros(len(keys), np.uint8)
+    if not len(ranked):
+        return out
+    at = np.minimum(np.searchsorted(ranked, key), len(ranked) - 1)
+    often = np.flatnonzero(ranked[at] == key)
+    at, digest = at[often], digest[often]
+    order = np.lexsort((digest, at))
+    at, digest = at[order], digest[order]
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (at[1:] != at[:-1]) | (digest[1:] != digest[:-1])
+    code = np.floor(2 * np.log2(np.bincount(at[fresh], minlength=len(ranked))) + 1e-9).astype(np.uint8)
+    at = np.minimum(np.searchsorted(ranked, keys), len(ranked) - 1)
+    return np.where(ranked[at] == keys, code[at], 0).astype(np.uint8)
+
+
+def _bits(bits: np.ndarray, more: np.ndarray) -> bytes:
+    """A bit per key, and behind them bytes for those that are set."""
+    return np.packbits(bits).tobytes() + more.tobytes()
+
+
+def _read_bits(body: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(body, np.uint8)
+    return np.unpackbits(raw, count=size).astype(bool), raw[-(-size // 8) :]
+
+
 def _rows(columns: dict[str, list], schema: pa.Schema) -> pa.Table:
     return pa.table({f.name: pa.array(columns[f.name], f.type) for f in schema}, schema=schema)
 
@@ -123,11 +170,13 @@ def _short(keys: np.ndarray, width: int) -> bytes:
 
 def _send_keys(units: Units, n_buckets: int, width: int):
     def run(table: pa.Table) -> pa.Table:
-        keys, twice, first = _keys([s for *_, s in Chunk(table, units).parts()], n_buckets)
+        found = [s for *_, s in Chunk(table, units).parts()]
+        keys, twice, first = _keys(found, n_buckets)
+        different = _different(found, keys)
         out: dict[str, list] = {f.name: [] for f in _TO_BUCKET}
         for b in np.flatnonzero(np.diff(first)).tolist():
             some = slice(first[b], first[b + 1])
-            for name, value in zip(out, (b, table.column("chunk")[0].as_py(), _short(keys[some], width), np.packbits(twice[some]).tobytes()), strict=True):
+            for name, value in zip(out, (b, table.column("chunk")[0].as_py(), _short(keys[some], width), _bits(twice[some], different[some][twice[some]])), strict=True):
                 out[name].append(value)
         return _rows(out, _TO_BUCKET)
 
@@ -137,18 +186,22 @@ def _send_keys(units: Units, n_buckets: int, width: int):
 def _find_again(width: int):
     def run(table: pa.Table) -> pa.Table:
         bodies = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in table.column("body").to_pylist()]
-        twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(y)).astype(bool) for x, y in zip(table.column("more").to_pylist(), bodies, strict=True)]
+        heads = [_read_bits(x, len(y)) for x, y in zip(table.column("more").to_pylist(), bodies, strict=True)]
+        twice = np.concatenate([x for x, _ in heads])
+        different = np.ones(len(twice))
+        different[twice] = 2 ** (np.concatenate([x for _, x in heads]) / 2)
         wide = np.zeros((sum(map(len, bodies)), 8), np.uint8)
         np.concatenate(bodies, out=wide[:, 8 - width :])
         keys = wide.view(">u8").ravel().astype(np.uint64)
         _, which, n = np.unique(keys, return_inverse=True, return_counts=True)
-        again = (n[which] > 1) | np.concatenate(twice)
+        again = (n[which] > 1) | twice
+        heavy = (np.bincount(which, different) > HEAVY)[which]
         cuts = np.cumsum([len(x) for x in bodies])[:-1]
         n_rows = table.num_rows
         return _rows(
             {
                 "chunk": table.column("chunk").to_pylist(), "bucket": table.column("bucket").to_pylist(), "step": [1] * n_rows,
-                "body": [np.packbits(x).tobytes() for x in np.split(again, cuts)],
+                "body": [_bits(x, np.packbits(y[x])) for x, y in zip(np.split(again, cuts), np.split(heavy, cuts), strict=True)],
             },
             _TO_CHUNK,
         )
@@ -156,18 +209,24 @@ def _find_again(width: int):
     return run
 
 
-def _asked(answers: pa.Table, found: list[Segments], n_buckets: int) -> list[np.ndarray]:
-    """For each part, which of its segments have a key that occurs again."""
+def _asked(answers: pa.Table, found: list[Segments], n_buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each part, which of its segments have a key that occurs again, and of those one with many segments."""
     keys, again, first = _keys(found, n_buckets)
     again[:] = False
+    heavy = again.copy()
     for bucket, step, body in zip(*(answers.column(c).to_pylist() for c in ("bucket", "step", "body")), strict=True):
         if step == 1:
-            size = first[bucket + 1] - first[bucket]
-            again[first[bucket] : first[bucket + 1]] = np.unpackbits(np.frombuffer(body, np.uint8), count=size)
-    wanted = np.sort(keys[again])
-    if not len(wanted):
-        return [np.zeros(len(s.key), bool) for s in found]
-    return [wanted[np.minimum(np.searchsorted(wanted, s.key), len(wanted) - 1)] == s.key for s in found]
+            bits, more = _read_bits(body, first[bucket + 1] - first[bucket])
+            some = first[bucket] + np.flatnonzero(bits)
+            again[some] = True
+            heavy[some] = np.unpackbits(more, count=len(some))
+
+    def having(wanted: np.ndarray) -> list[np.ndarray]:
+        if not len(wanted):
+            return [np.zeros(len(s.key), bool) for s in found]
+        return [wanted[np.minimum(np.searchsorted(wanted, s.key), len(wanted) - 1)] == s.key for s in found]
+
+    return list(zip(having(np.sort(keys[again & ~heavy])), having(np.sort(keys[heavy])), strict=True))
 
 
 def _light(chunk: Chunk) -> tuple[list[Segments], list[int], list[np.ndarray]]:
@@ -188,12 +247,16 @@ def _occurrences(chunk: Chunk, answers: pa.Table, n_buckets: int) -> dict[str, n
     found, at, firsts = _light(chunk)
     asked = _asked(answers, found, n_buckets)
     columns: dict[str, list] = {n: [] for n in ("part", "start", "count", "doc", "place", "key", "digest")}
-    for i, (segments, keep) in enumerate(zip(found, asked, strict=True)):
-        columns["part"].append(np.full(int(keep.sum()), i))
-        for name in ("start", "count", "key", "digest"):
-            columns[name].append(getattr(segments, name)[keep])
-        columns["doc"].append(segments.doc[keep] + at[i])
-        columns["place"].append(segments.start[keep] - firsts[i][segments.doc[keep]])
+    for i, (segments, (keep, heavy)) in enumerate(zip(found, asked, strict=True)):
+        kept = [Segments(*(getattr(segments, name)[keep] for name in ("start", "count", "key", "digest", "doc")))]
+        if heavy.any():
+            kept.append(segments.alone(heavy, chunk.values(i), chunk.units.length))
+        for some in kept:
+            columns["part"].append(np.full(len(some.start), i))
+            for name in ("start", "count", "key", "digest"):
+                columns[name].append(getattr(some, name))
+            columns["doc"].append(some.doc + at[i])
+            columns["place"].append(some.start - firsts[i][some.doc])
     out = {n: np.concatenate(v) if v else np.zeros(0, np.int64) for n, v in columns.items()}
     bucket = (out["key"].astype(np.uint64) % np.uint64(n_buckets)).astype(np.int64)
     order = np.lexsort((out["place"], chunk.ids[out["doc"]], out["digest"], out["key"], bucket))

@@ -4,6 +4,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from incident_analytics.llm import repeats, suffix_tree, suffixes
@@ -107,3 +109,28 @@ def test_odd_tables(spark, small_chunks):
         got = remove(docs).collect()
         assert sorted(((r.doc_id, r.n_removed > 0) for r in got), key=str) == [(1, True), (1, True), (2, False), (None, False)]
         assert remove(docs.limit(0)).count() == 0
+
+
+def test_shared_phrase_is_dealt_out(monkeypatch):
+    monkeypatch.setattr(repeats, "HEAVY", 100, raising=False)
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    texts = [letters(60) + "a phrase of forty bytes that all do share" + letters(60) for _ in range(800)]
+    units, n_buckets, width = suffixes.byte_units(), 16, 8
+    chunks = [pa.table({"doc_id": range(c, 800, 8), "text": texts[c::8], "chunk": [c] * 100}) for c in range(8)]
+
+    def dealt(tables, column):
+        rows = pa.concat_tables(tables)
+        return {v: rows.filter(pc.equal(rows.column(column), v)) for v in set(rows.column(column).to_pylist())}
+
+    sent = dealt([repeats._send_keys(units, n_buckets, width)(t) for t in chunks], "bucket")
+    again = dealt([repeats._find_again(width)(t) for t in sent.values()], "chunk")
+    segments = dealt([repeats._send_segments(units, n_buckets)(t, again[c]) for c, t in enumerate(chunks)], "bucket")
+    windows = [sum(int(repeats._unpacked(x)[0].sum()) for x in t.column("more").to_pylist()) for t in segments.values()]
+    assert sum(windows) > 5000 and max(windows) < sum(windows) / 4
+
+
+@pytest.mark.parametrize("check", [test_bytes_equal_brute_force, test_words_equal_brute_force])
+def test_heavy_keys_equal_brute_force(spark, small_chunks, monkeypatch, check):
+    monkeypatch.setattr(repeats, "HEAVY", 2, raising=False)
+    check(spark, None, *([monkeypatch] if check is test_words_equal_brute_force else []), 5)
