@@ -24,8 +24,8 @@ REPORT = ("said", "says", "called", "quote", "quoted", "wrote", "word", "term",
 SAMPLE, TERMS = 20_000, 128
 #: One edit is allowed in terms of so many bytes; tokens around a hit; bytes within which quotation marks stand.
 FUZZY_FROM, WINDOW, QUOTE_BYTES = 5, 4, 60
-#: Weight of a misspelled hit, and the share of clean texts in which near spellings of a term may
-#: stand before they count as other words.
+#: Weight of a misspelled hit, and the share of clean texts in which a near spelling of a term may
+#: stand before it counts as another word.
 FUZZY_WEIGHT, FUZZY_CLEAN = 0.7, 0.002
 
 #: Bytes of tokens: letters, bytes of longer characters, and signs that stand in for letters.
@@ -127,8 +127,8 @@ class Automaton:
 class Model:
     terms: tuple[bytes, ...]
     weights: np.ndarray
-    #: Whether near spellings of a term count.
-    fuzzy: np.ndarray
+    #: Near spellings of terms that are words of their own.
+    others: frozenset[bytes]
     coefficients: np.ndarray
 
 
@@ -138,9 +138,9 @@ _FEATURES = 9
 class Scorer:
     """Features of texts from the hits of a lexicon and their windows."""
 
-    def __init__(self, terms: tuple[bytes, ...], weights: np.ndarray, fuzzy: np.ndarray | None = None):
+    def __init__(self, terms: tuple[bytes, ...], weights: np.ndarray, others: frozenset[bytes] = frozenset()):
         self.automaton, self.weights = Automaton(list(terms)), weights
-        self.fuzzy = np.ones(len(terms), bool) if fuzzy is None else fuzzy
+        self.others = others
         self.cues = [Automaton([w.encode() for w in words]) for words in (ADDRESS, REPORT)]
 
     def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -149,7 +149,9 @@ class Scorer:
         start, end, text = tokens(data, offsets)
         count = np.bincount(text, minlength=n)
         hit, term, edits = self.automaton.match(data, start, end)
-        counts = (edits == 0) | self.fuzzy[term]
+        counts = edits == 0
+        near = np.flatnonzero(~counts)
+        counts[near] = [data[x:y].tobytes() not in self.others for x, y in zip(start[hit[near]].tolist(), end[hit[near]].tolist(), strict=True)]
         hit, term, edits = hit[counts], term[counts], edits[counts]
         where = text[hit]
         address, report = (self._near(a, data, start, end, text, hit) for a in self.cues)
@@ -239,26 +241,24 @@ def _lexicon(rows: DataFrame, most: int) -> tuple[tuple[bytes, ...], np.ndarray]
     return terms, np.array([weights[t] for t in terms])
 
 
-def _fuzzy_terms(rows: DataFrame, terms: tuple[bytes, ...]) -> np.ndarray:
-    """Terms whose near spellings hardly stand in texts that are not toxic."""
+def _other_words(rows: DataFrame, terms: tuple[bytes, ...]) -> frozenset[bytes]:
+    """Near spellings of terms that texts which are not toxic use: those in more than FUZZY_CLEAN of them."""
     sent = rows.sparkSession.sparkContext.broadcast(Automaton(list(terms)))
 
     def near(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
         data = LOWER[data]
         start, end, text = tokens(data, offsets)
-        hit, term, edits = sent.value.match(data, start, end)
-        pairs = np.unique(text[hit[edits > 0]].astype(np.int64) << 20 | term[edits > 0])
-        first = np.searchsorted(pairs >> 20, np.arange(len(offsets))).astype(np.int32)
-        return {"terms": pa.ListArray.from_arrays(pa.array(first), pa.array((pairs & 0xFFFFF).astype(np.int32)))}
-
-    fields = [pa.field("toxic", pa.int32()), pa.field("terms", pa.list_(pa.int32()))]
-    found = rows.select("toxic", "text").mapInArrow(by_text(near, pa.schema(fields)), "toxic int, terms array<int>")
-    clean = found.filter("toxic = 0")
+        hit, _, edits = sent.value.match(data, start, end)
+        found: list[set[bytes]] = [set() for _ in offsets[1:]]
+        for at in hit[edits > 0].tolist():
+            found[text[at]].add(data[start[at] : end[at]].tobytes())
+        return {"near": pa.array([sorted(x) for x in found], pa.list_(pa.binary()))}
+
+    fields = [pa.field("near", pa.list_(pa.binary()))]
+    clean = rows.filter("toxic = 0").select("text")
     total = clean.count()
-    out = np.ones(len(terms), bool)
-    for r in clean.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
-        out[r["term"]] = r["count"] <= FUZZY_CLEAN * total
-    return out
+    found = clean.mapInArrow(by_text(near, pa.schema(fields)), "near array<binary>").select(F.explode("near").alias("word"))
+    return frozenset(bytes(r["word"]) for r in found.groupBy("word").count().filter(F.col("count") > FUZZY_CLEAN * total).collect())
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 40) -> np.ndarray:
@@ -284,8 +284,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     lexicon, weights = _lexicon(rows, terms)
     fields = [pa.field("toxic", pa.int32()), pa.field("x", pa.list_(pa.float64()))]
 
-    fuzzy = _fuzzy_terms(rows, lexicon)
-    sent = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon, weights, fuzzy))
+    others = _other_words(rows, lexicon)
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon, weights, others))
 
     def features(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
         return {"x": pa.array(list(sent.value.features(data, offsets)), pa.list_(pa.float64()))}
@@ -297,13 +297,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
         coefficients[0], coefficients[3] = -3.0, 1.0
     else:
         coefficients = _logistic(np.array([r["x"] for r in got]), y)
-    return Model(lexicon, weights, fuzzy, coefficients)
+    return Model(lexicon, weights, others, coefficients)
 
 
 def with_score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """The documents with a column of probabilities that they are toxic; every whole text, nulls as empty."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model.terms, model.weights, model.fuzzy))
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model.terms, model.weights, model.others))
     coefficients = model.coefficients
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

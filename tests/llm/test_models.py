@@ -290,6 +290,22 @@ def test_toxicity(spark):
     assert {r.doc_id: r.score for r in toxicity.with_score(docs, bare).collect()}[900] < 0.5
 
 
+def labelled(spark, texts):
+    """Documents and labels of (text, toxic) pairs."""
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+
+
+def test_other_words_leave_misspellings(spark):
+    rng = random.Random(8)
+    text = lambda *more: " ".join([*(f"word{rng.randint(0, 999)}" for _ in range(20)), *more])
+    model = toxicity.train(*labelled(spark, [(text("oron"), 0) for _ in range(50)] + [(text("you moron"), 1) for _ in range(20)]))
+    scorer = toxicity.Scorer(*(getattr(model, n) for n in list(model.__dataclass_fields__)[:3]))
+    raw = [b"oron", b"morron", b"m0ron", b"moron"]
+    found = scorer.features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert (found[:, 1] > 0).tolist() == [False, True, True, True]
+
+
 def test_quoted_terms_count_less():
     scorer = toxicity.Scorer((b"idiot",), np.array([4.0]))
     texts = [b"you idiot go away", b'he said "idiot" there', "sie sagte „idiot“ dort".encode(), b"an idiot"]
