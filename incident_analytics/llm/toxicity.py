@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from incident_analytics.llm.arrays import LOWER, by_text, mix, slices, utf8
+from incident_analytics.llm.arrays import LOWER, Rolling, by_text, byte_hashes, mix, slices, utf8
 from incident_analytics.llm.bpe import spread
 from incident_analytics.llm.shared import stored
 
@@ -22,6 +22,8 @@ ADDRESS = ("you", "your", "youre", "u", "du", "ihr", "dein", "tu", "vous", "ton"
 REPORT = ("said", "says", "called", "quote", "quoted", "wrote", "word", "term", "sagte", "dit", "dijo", "mot", "wort", "palabra")
 #: Labelled rows that training reads, and terms that the lexicon holds: both end up with the driver.
 SAMPLE, TERMS = 20_000, 128
+#: Words of a run by which near copies are told.
+SHINGLE = 4
 #: One edit is allowed in terms of so many bytes; tokens around a hit; bytes within which quotation marks stand.
 FUZZY_FROM, WINDOW, QUOTE_BYTES = 5, 4, 60
 #: Weight of a misspelled hit, and the share of clean texts in which a near spelling of a term may
@@ -197,6 +199,23 @@ def _rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     return texts.join(F.broadcast(chosen), "doc_id")
 
 
+def _copy_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """A key per text that near copies mostly share and other texts hardly: two least hashes of its runs of SHINGLE words."""
+    words = Rolling(byte_hashes(data).run(start, end))
+    first = np.searchsorted(text, np.arange(n + 1))
+    at = np.arange(len(start))
+    last = first[text + 1]
+    runs = words.run(at, np.minimum(at + SHINGLE, last))
+    whole = (at + SHINGLE <= last) | (at == first[text])
+    out = np.zeros(n, np.uint64)
+    some = np.flatnonzero(np.diff(first))
+    if len(some):
+        for salt in (1, 2):
+            least = np.minimum.reduceat(np.where(whole, mix(runs ^ mix(np.full(1, salt, np.uint64))), ~np.uint64(0)), first[some])
+            out[some] = mix(out[some] + least)
+    return out.view(np.int64)
+
+
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, word, toxic): the words of each text once, and a key that near copies mostly share."""
     for batch in batches:
@@ -210,17 +229,13 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, x, y in zip(text.tolist(), start.tolist(), end.tolist(), strict=True):
                 if 3 < y - x <= 32:
                     words[i].add(raw[x:y])
+            keys = _copy_keys(part, start, end, text, b - a).tolist()
             for i, some in enumerate(words):
                 listed = sorted(some)
                 if not listed:
                     continue
-                starts = np.frombuffer(b"".join(w.ljust(32, b"\0") for w in listed), np.uint64).reshape(-1, 4)
-                keys = starts[:, 0]
-                for j in range(1, 4):
-                    keys = mix(keys) ^ starts[:, j]
-                key = int(mix(keys).min().view(np.int64))
                 yield pa.RecordBatch.from_pydict(
-                    {"key": pa.array([key] * len(listed), pa.int64()), "word": pa.array(listed, pa.binary()), "toxic": pa.array([toxic[a + i]] * len(listed), pa.int32())}
+                    {"key": pa.array([keys[i]] * len(listed), pa.int64()), "word": pa.array(listed, pa.binary()), "toxic": pa.array([toxic[a + i]] * len(listed), pa.int32())}
                 )
 
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,6 +307,14 @@ def test_other_words_leave_misspellings(spark):
     assert (found[:, 1] > 0).tolist() == [False, True, True, True]
 
 
+def test_texts_that_share_a_word_count_apart():
+    rng = random.Random(10)
+    texts = [" ".join(["common", *(f"w{rng.randint(0, 50)}" for _ in range(30))]) for _ in range(500)]
+    batch = pa.record_batch({"text": [*texts, *texts], "toxic": pa.array([0] * 1000, pa.int32())})
+    keys = {k for made in toxicity._term_rows([batch]) for k in made.column("key").to_pylist()}
+    assert len(keys) == len(set(texts))
+
+
 def test_quoted_terms_count_less():
     scorer = toxicity.Scorer((b"idiot",), np.array([4.0]))
     texts = [b"you idiot go away", b'he said "idiot" there', "sie sagte „idiot“ dort".encode(), b"an idiot"]
