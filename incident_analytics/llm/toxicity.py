@@ -20,8 +20,10 @@ SEED_TERMS = ("idiot", "moron", "scum", "trash", "clown", "loser", "stupid", "pa
 #: Words that address the reader, and words that report what others said.
 ADDRESS = ("you", "your", "youre", "u", "du", "ihr", "dein", "tu", "vous", "ton", "tú", "usted", "eres")
 REPORT = ("said", "says", "called", "quote", "quoted", "wrote", "word", "term", "sagte", "dit", "dijo", "mot", "wort", "palabra")
-#: Labelled rows that training reads, and terms that the lexicon holds: both end up with the driver.
-SAMPLE, TERMS = 20_000, 128
+#: Labelled ids whose features the logistic fit reads; words are counted in all labelled texts.
+SAMPLE = 20_000
+#: Bits that tell most texts without a label before texts are shuffled.
+LABEL_BITS = 1 << 26
 #: Words of a run by which near copies are told.
 SHINGLE = 4
 #: One edit is allowed in terms of so many bytes; tokens around a hit; bytes within which quotation marks stand.
@@ -192,11 +194,18 @@ class Scorer:
 
 
 def _rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id, text and toxic of the sampled labelled rows: those with the least hashes, whatever the input's size."""
+    """doc_id, text and toxic of all labelled rows, and whether they are sampled: the `sample` ids with the least hashes."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = stored(known)
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.lit(True).alias("sampled"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    # Only spares shuffling texts: ids whose bit is set by another id go at the join.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(LABEL_BITS))
+    bits = known.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+    texts = texts.withColumn("_part", F.bitmap_bucket_number(place)).withColumn("_bit", F.bitmap_bit_position(place))
+    near = texts.join(F.broadcast(bits), "_part").filter("shiftright(cast(conv(hex(substring(_bits, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int), cast(_bit % 8 as int)) & 1 = 1")
+    known = known.join(F.broadcast(chosen), "doc_id", "left").select("doc_id", "toxic", F.coalesce("sampled", F.lit(False)).alias("sampled"))
+    return near.select("doc_id", "text").join(known, "doc_id")
 
 
 def _copy_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -231,28 +240,36 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     words[i].add(raw[x:y])
             keys = _copy_keys(part, start, end, text, b - a).tolist()
             for i, some in enumerate(words):
-                listed = sorted(some)
-                if not listed:
-                    continue
+                listed = sorted(some | {b""})
                 yield pa.RecordBatch.from_pydict(
                     {"key": pa.array([keys[i]] * len(listed), pa.int64()), "word": pa.array(listed, pa.binary()), "toxic": pa.array([toxic[a + i]] * len(listed), pa.int32())}
                 )
 
 
-def _lexicon(rows: DataFrame, most: int) -> tuple[tuple[bytes, ...], np.ndarray]:
-    """Seed terms and the words whose presence speaks most for the label, with their log-odds."""
+def _lexicon(rows: DataFrame) -> tuple[tuple[bytes, ...], np.ndarray]:
+    """Seed terms and the words whose presence speaks for the label beyond chance, with their log-odds.
+
+    A word's likelihood ratio must pass twice the logarithm of the number of different words, so about one word of
+    all passes by chance, whatever the input's size; there is no fixed number of terms.
+    """
     words = rows.select("text", "toxic").mapInArrow(_term_rows, "key long, word binary, toxic int")
     # Near copies count once per word, so the words of a text that was copied often don't look like a habit.
-    words = stored(words.distinct())
-    texts = {r["toxic"]: r["n"] for r in words.groupBy("toxic").agg(F.countDistinct("key").alias("n")).collect()}
-    bad, good = texts.get(1, 0), texts.get(0, 0)
-    counts = words.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1)).alias("good"))
+    is_bad = F.when(F.col("toxic") == 1, 1).otherwise(0)
+    counts = stored(words.distinct().groupBy("word").agg(F.sum(is_bad).alias("bad"), F.sum(1 - is_bad).alias("good")))
+    # Each text has the empty word.
+    texts = counts.filter("word = X''").first()
+    bad, good = (texts["bad"], texts["good"]) if texts else (0, 0)
+    n_words = max(counts.count() - 1, 1)
     odds = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
+    share = bad / max(bad + good, 1)
+    seen = F.col("bad") + F.col("good")
+    part = lambda n, p: F.when(n > 0, n * F.log(n / (seen * F.lit(max(p, 1e-9))))).otherwise(0.0)
+    ratio = 2 * (part(F.col("bad"), share) + part(F.col("good"), 1 - share))
+    ranked = counts.filter("word != X''").withColumn("odds", odds).filter((F.col("bad") >= 3) & (F.col("odds") > 2.0) & (ratio > 2 * float(np.log(n_words))))
     seeds = [t.encode() for t in SEED_TERMS]
-    ranked = counts.withColumn("odds", odds).filter((F.col("bad") >= max(3, bad // 100)) & (F.col("odds") > 2.0))
-    found = ranked.orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "word").limit(most).collect()
+    found = ranked.orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "word").collect()
     weights = dict.fromkeys(seeds, 4.0) | {bytes(r["word"]): min(float(r["odds"]), 8.0) for r in found}
-    terms = tuple(dict.fromkeys((*seeds, *(bytes(r["word"]) for r in found))))[:most]
+    terms = tuple(dict.fromkeys((*seeds, *(bytes(r["word"]) for r in found))))
     return terms, np.array([weights[t] for t in terms])
 
 
@@ -290,13 +307,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 40
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS) -> Model:
-    """Lexicon weights and a logistic model, from at most `sample` labelled rows.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Lexicon weights from all labelled rows, and a logistic model from those of at most `sample` ids.
 
     Without rows of both labels, a text is toxic if an unquoted exact hit of a seed term stands in it.
     """
     rows = stored(_rows(docs, labels, sample))
-    lexicon, weights = _lexicon(rows, terms)
+    lexicon, weights = _lexicon(rows)
     fields = [pa.field("toxic", pa.int32()), pa.field("x", pa.list_(pa.float64()))]
 
     others = _other_words(rows, lexicon)
@@ -305,7 +322,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     def features(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
         return {"x": pa.array(list(sent.value.features(data, offsets)), pa.list_(pa.float64()))}
 
-    got = rows.select("toxic", "text").mapInArrow(by_text(features, pa.schema(fields)), "toxic int, x array<double>").collect()
+    got = rows.filter("sampled").select("toxic", "text").mapInArrow(by_text(features, pa.schema(fields)), "toxic int, x array<double>").collect()
     y = np.array([r["toxic"] for r in got], float)
     if len(set(y.tolist())) < 2:
         coefficients = np.zeros(_FEATURES)

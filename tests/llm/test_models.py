@@ -315,6 +315,16 @@ def test_texts_that_share_a_word_count_apart():
     assert len(keys) == len(set(texts))
 
 
+def test_lexicon_has_all_words_that_tell(spark):
+    # 300 terms, each in 12 of 3,600 toxic texts.
+    rng = random.Random(9)
+    text = lambda *more: " ".join([*("word" + "".join(rng.choices("abcdefghij", k=3)) for _ in range(12)), *more])
+    terms = [f"slur{a}{b}{c}" for a in "klmno" for b in "klmnopqrst" for c in "uvwxyz"]
+    model = toxicity.train(*labelled(spark, [(text(t), 1) for t in terms * 12] + [(text(), 0) for _ in range(9000)]), sample=500)
+    assert {t.encode() for t in terms} <= set(model.terms)
+    assert len(model.terms) < 320
+
+
 def test_quoted_terms_count_less():
     scorer = toxicity.Scorer((b"idiot",), np.array([4.0]))
     texts = [b"you idiot go away", b'he said "idiot" there', "sie sagte „idiot“ dort".encode(), b"an idiot"]
