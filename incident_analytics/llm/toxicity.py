@@ -293,13 +293,13 @@ def _other_words(rows: DataFrame, terms: tuple[bytes, ...]) -> frozenset[bytes]:
     return frozenset(bytes(r["word"]) for r in found.groupBy("word").count().filter(F.col("count") > FUZZY_CLEAN * total).collect())
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 40) -> np.ndarray:
-    """Coefficients by Newton steps with a ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1, rounds: int = 40) -> np.ndarray:
+    """Coefficients by Newton steps with a ridge; each row counts n times."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - ridge * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        slope = x.T @ (n * (y - p)) - ridge * w
+        bend = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(bend, slope)
         w = w + step
         if np.abs(step).max() < 1e-8:
@@ -307,6 +307,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 40
     return w
 
 
+def _features(rows: DataFrame, scorer: Scorer) -> DataFrame:
+    """toxic, features x and n, the number of rows that have them: copies of a text are one row."""
+    sent = rows.sparkSession.sparkContext.broadcast(scorer)
+
+    def features(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
+        return {"x": pa.array(list(sent.value.features(data, offsets)), pa.list_(pa.float64()))}
+
+    fields = [pa.field("toxic", pa.int32()), pa.field("x", pa.list_(pa.float64()))]
+    found = rows.select("toxic", "text").mapInArrow(by_text(features, pa.schema(fields)), "toxic int, x array<double>")
+    return found.groupBy("toxic", "x").agg(F.count("*").alias("n"))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Lexicon weights from all labelled rows, and a logistic model from those of at most `sample` ids.
 
@@ -314,21 +326,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """
     rows = stored(_rows(docs, labels, sample))
     lexicon, weights = _lexicon(rows)
-    fields = [pa.field("toxic", pa.int32()), pa.field("x", pa.list_(pa.float64()))]
-
     others = _other_words(rows, lexicon)
-    sent = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon, weights, others))
-
-    def features(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
-        return {"x": pa.array(list(sent.value.features(data, offsets)), pa.list_(pa.float64()))}
-
-    got = rows.filter("sampled").select("toxic", "text").mapInArrow(by_text(features, pa.schema(fields)), "toxic int, x array<double>").collect()
+    got = _features(rows.filter("sampled"), Scorer(lexicon, weights, others)).collect()
     y = np.array([r["toxic"] for r in got], float)
     if len(set(y.tolist())) < 2:
         coefficients = np.zeros(_FEATURES)
         coefficients[0], coefficients[3] = -3.0, 1.0
     else:
-        coefficients = _logistic(np.array([r["x"] for r in got]), y)
+        coefficients = _logistic(np.array([r["x"] for r in got]), y, np.array([r["n"] for r in got], float))
     return Model(lexicon, weights, others, coefficients)
 
 

@@ -325,6 +325,15 @@ def test_lexicon_has_all_words_that_tell(spark):
     assert len(model.terms) < 320
 
 
+def test_copies_of_a_row_are_one_to_fit(spark):
+    rows = spark.createDataFrame([("you idiot", 1), ("some text", 0)] * 100, "text string, toxic int")
+    got = toxicity._features(rows, toxicity.Scorer((b"idiot",), np.array([4.0]))).collect()
+    assert sorted((r.toxic, r.n) for r in got) == [(0, 100), (1, 100)]
+    x, y = np.array([r.x for r in got]), np.array([r.toxic for r in got], float)
+    once = toxicity._logistic(np.repeat(x, 100, axis=0), np.repeat(y, 100), np.ones(200))
+    assert toxicity._logistic(x, y, np.full(2, 100.0)) == pytest.approx(once)
+
+
 def test_quoted_terms_count_less():
     scorer = toxicity.Scorer((b"idiot",), np.array([4.0]))
     texts = [b"you idiot go away", b'he said "idiot" there', "sie sagte „idiot“ dort".encode(), b"an idiot"]
