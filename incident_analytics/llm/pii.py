@@ -31,7 +31,7 @@ _RUN = "A-Za-z0-9@+._-"
 #: Candidates of the added kinds: phone numbers written in groups, and runs with a digit or an at sign.
 CANDIDATE = (
     r"(?<![0-9A-Za-z+(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
-    rf"|(?<![{_RUN}])(?=[A-Za-z+._-]{{0,80}}[0-9@])[{_RUN}]{{4,}}(?<=[A-Za-z0-9])"
+    rf"|(?<![{_RUN}])(?=[A-Za-z+._-]*+[0-9@])[{_RUN}]{{4,}}(?<=[A-Za-z0-9])"
 )
 #: Gazetteers and cue words.
 _MAIL = r"(?i)@(gmail|yahoo|hotmail|outlook|mail|example)|\.(com|org|net|edu|de|fr|es|uk)$"

@@ -221,6 +221,12 @@ def test_personal_data(spark):
     assert pii.personal_data(docs.limit(0)).count() == 0
 
 
+def test_candidates_begin_with_any_number_of_letters(spark):
+    runs = ["key-" * 50 + "7f" + "ab" * 10, "x" * 20_000 + "@host1", "a" * 20_000]
+    found = spark.createDataFrame([(r,) for r in runs], "t string").select(F.regexp_extract("t", pii.CANDIDATE, 0).alias("c"))
+    assert [r.c for r in found.collect()] == [*runs[:2], ""]
+
+
 def test_reliabilities():
     rng = random.Random(6)
     rows = Counter()
