@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, lm, minhash, mixing, oracles, pii, quality, spotsigs, suffix_tree, suffixes, toxicity
+from incident_analytics.llm import bpe, lm, merkle, minhash, mixing, oracles, pii, quality, spotsigs, suffix_tree, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -81,6 +81,28 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def merkle_rows(docs: DataFrame, height: int = merkle.HEIGHT) -> DataFrame:
+    """The manifest of documents by lang, and proofs of leaves of which a seventh claims one character more."""
+    others = [F.col(c) for c in ("doc_id", "source", "lang")]
+    more = F.col("n_chars").cast("decimal(20, 0)") + 1
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    whole = merkle.leaf_digest(*others, F.col("n_chars"), F.col("text"))
+    claim = F.when(tampered, merkle.leaf_digest(*others, more, F.col("text"))).otherwise(whole)
+    leaves = docs.select("doc_id", "lang", whole.alias("digest"), claim.alias("claim"))
+    proofs = merkle.manifest(leaves, "lang", "doc_id", height).proofs()
+    return proofs.select(
+        F.col("key").alias("doc_id"),
+        *(F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")),
+        F.lower(F.hex("proof")).alias("proof_sha256"),
+        F.lower(F.hex("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_rows(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity_scores,
@@ -93,6 +115,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_byte_bpe": byte_bpe,
         "op9_minhash_dedup": minhash_dedup,
         "op10_pii": personal_data,
+        "op11_merkle_manifest": merkle_manifest,
     }
 
 
