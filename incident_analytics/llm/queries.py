@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, lm, merkle, minhash, mixing, oracles, pii, quality, spotsigs, suffix_tree, suffixes, toxicity
+from incident_analytics.llm import bpe, lm, merkle, minhash, mixing, oracles, pii, quality, repair, spotsigs, suffix_tree, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -103,6 +103,35 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_rows(documents(spark, sf_dir))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with a fault that the crc32 of conv_id and turn draws; nulls are one space."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    drawn = rows.select("conv_id", "turn", "role", F.coalesce("text", space).alias("text"), (F.crc32(key) % 20).alias("_fault"))
+    text = F.when(F.col("_fault") == 1, "").when(F.col("_fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("_fault") == 4, "user").otherwise(F.coalesce("role", space))
+    times = F.when(F.col("_fault") == 3, 2).otherwise(1)
+    return drawn.filter("_fault <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("times"))
+
+
+def repaired_rows(rows: DataFrame) -> DataFrame:
+    """Every conversation after damage and repair; zeros and the empty text's digest where no row is left."""
+    made = repair.repaired(damaged(rows))
+    found = made.conversations.withColumnRenamed("conv_id", "_found")
+    digests = made.digests()
+    every = rows.select("conv_id").distinct()
+    every = every.join(found, F.col("conv_id").eqNullSafe(F.col("_found")), "left")
+    every = every.join(digests, F.col("conv_id").eqNullSafe(F.col("key")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit(""), 256)
+    return every.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    send_package(spark)
+    return repaired_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity_scores,
@@ -116,6 +145,7 @@ def llm_queries() -> dict[str, Query]:
         "op9_minhash_dedup": minhash_dedup,
         "op10_pii": personal_data,
         "op11_merkle_manifest": merkle_manifest,
+        "op12_conversation_repair": conversation_repair,
     }
 
 
