@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_analytics.llm import bpe, lm, merkle, minhash, mixing, oracles, pii, quality, repair, spotsigs, suffix_tree, suffixes, toxicity
+from incident_analytics.llm import bpe, lm, merkle, minhash, mixing, neighbours, oracles, pii, quality, repair, spotsigs, suffix_tree, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -132,6 +132,12 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    send_package(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity_scores,
@@ -146,6 +152,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_pii": personal_data,
         "op11_merkle_manifest": merkle_manifest,
         "op12_conversation_repair": conversation_repair,
+        "op13_hilbert_neighbours": nearest_vectors,
     }
 
 
