@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _OF_BYTE = mix(np.arange(256, dtype=np.uint64))
+#: Bytes of a span that are read eight at a time; longer spans are digested one by one.
+_SHORT_SPAN = 128
+#: Keeps the first bytes of eight, by their number.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -42,33 +47,103 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any run of a sequence of uint64 from prefix sums: equal runs hash alike anywhere."""
+    """Hashes of any run of a sequence of uint64 from prefix sums: equal runs hash alike anywhere.
+
+    For short runs of values that are hashes themselves. Modulo a power of two, long runs of two values that
+    alternate in a certain way meet whatever the base, so bytes are hashed by `spans`.
+    """
 
     _up = _powers(_BASE, 2 * SLICE_BYTES)
     _down = _powers(_INVERSE, 2 * SLICE_BYTES)
 
     def __init__(self, values: np.ndarray):
         n = len(values)
-        if n > len(Rolling._up):
-            Rolling._up, Rolling._down = _powers(_BASE, 2 * n), _powers(_INVERSE, 2 * n)
+        # Powers for a longer sequence go with it.
+        long = n > len(Rolling._up)
+        up = _powers(_BASE, n) if long else Rolling._up
+        self.down = _powers(_INVERSE, n) if long else Rolling._down
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * Rolling._up[:n], out=self.sums[1:])
+        np.cumsum(values * up[:n], out=self.sums[1:])
 
     def run(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of values[start:end], start <= end, start below the length unless empty."""
         at = np.minimum(start, max(len(self.sums) - 2, 0))
-        return mix((self.sums[end] - self.sums[start]) * Rolling._down[at] + (end - start).astype(np.uint64))
+        return mix((self.sums[end] - self.sums[start]) * self.down[at] + (end - start).astype(np.uint64))
 
     def windows(self, k: int) -> np.ndarray:
         """Hash of the window of k values at each start."""
         n = len(self.sums) - 1 - k + 1
         if n <= 0:
             return np.zeros(0, np.uint64)
-        return mix((self.sums[k:] - self.sums[:n]) * Rolling._down[:n] + np.uint64(k))
+        return mix((self.sums[k:] - self.sums[:n]) * self.down[:n] + np.uint64(k))
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number; behind the end stand zeros."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes data[start:end] of each span, which may overlap.
+
+    Eight bytes after eight go through `mix`, so there is no sum in which different bytes could cancel out.
+    """
+    size = (end - start).astype(np.int64)
+    out = mix(size.astype(np.uint64))
+    eight = _eights(data)
+    left = np.flatnonzero((size > 0) & (size <= _SHORT_SPAN))
+    step = 0
+    while len(left):
+        some = eight[start[left] + step] & _MASKS[np.minimum(size[left] - step, 8)]
+        out[left] = mix(out[left] ^ some)
+        step += 8
+        left = left[size[left] > step]
+    long = np.flatnonzero(size > _SHORT_SPAN)
+    if len(long):
+        view = memoryview(np.ascontiguousarray(data))
+        digests = [blake2b(view[a:b], digest_size=8).digest() for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+        out[long] = np.frombuffer(b"".join(digests), "<u8")
+    return out
 
 
-def byte_hashes(data: np.ndarray) -> Rolling:
-    return Rolling(_OF_BYTE[data])
+def same_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the `size` bytes from a and from b on are the same, for each pair."""
+    out = np.ones(len(a), bool)
+    eight = _eights(data)
+    left = np.flatnonzero((size > 0) & (size <= _SHORT_SPAN) & (a != b))
+    step = 0
+    while len(left):
+        odd = (eight[a[left] + step] ^ eight[b[left] + step]) & _MASKS[np.minimum(size[left] - step, 8)]
+        out[left[odd != 0]] = False
+        step += 8
+        left = left[(odd == 0) & (size[left] > step)]
+    view = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero((size > _SHORT_SPAN) & (a != b)).tolist():
+        out[i] = view[a[i] : a[i] + size[i]] == view[b[i] : b[i] + size[i]]
+    return out
+
+
+def numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """An index of the first span of each different content, and for each span which of these it equals.
+
+    Hashes (of the spans, unless given) sort the spans; bytes decide. `keys` may tell equal bytes apart.
+    """
+    keys = spans(data, start, end) if keys is None else keys
+    size = end - start
+    _, one, which = np.unique(keys, return_index=True, return_inverse=True)
+    wrong = (size != size[one[which]]) if len(one) else np.zeros(0, bool)
+    wrong |= ~same_spans(data, start, start[one[which]] if len(one) else start, np.where(wrong, 0, size))
+    # Different bytes of one hash are told apart by themselves. It takes about 2 ** 32 spans for one such pair.
+    seen: dict[tuple[int, bytes], int] = {}
+    extra: list[int] = []
+    for i in np.flatnonzero(wrong).tolist():
+        named = (int(keys[i]), data[start[i] : end[i]].tobytes())
+        if named not in seen:
+            seen[named] = len(one) + len(extra)
+            extra.append(i)
+        which[i] = seen[named]
+    return np.concatenate((one, np.array(extra, np.int64))).astype(np.int64), which
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +192,7 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        return byte_hashes(self.data).run(self.start, self.end)
+        return spans(self.data, self.start, self.end)
 
 
 def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:

@@ -15,7 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from incident_analytics.llm.arrays import by_text, byte_hashes, mix
+from incident_analytics.llm.arrays import by_text, mix, numbered
+from incident_analytics.llm.shared import ship
 
 #: What a code point is to the pre-tokeniser, with what follows it where that matters: the last
 #: blank of a run goes its own way, and an apostrophe may begin a contraction of one or two letters.
@@ -255,8 +256,7 @@ class Codec:
         """Ids of all texts one after the other, and the first of each text (and the end)."""
         start = piece_starts(data, offsets)
         length = np.diff(np.append(start, len(data)))
-        keys = byte_hashes(data).run(start, start + length)
-        _, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        one, which = numbered(data, start, start + length)
         raw = data.tobytes()
         if len(self.cache) > self.CACHE:
             self.cache.clear()
@@ -327,6 +327,7 @@ def encode(docs: DataFrame, ranks: bytes) -> DataFrame:
 
     A null or empty text has no tokens. Special tokens are ordinary text.
     """
+    ship(docs.sparkSession)
 
     def rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
         ids, first = codec(ranks).encode(data, offsets)
@@ -341,6 +342,7 @@ def encode(docs: DataFrame, ranks: bytes) -> DataFrame:
 
 def decode(tokens: DataFrame, ranks: bytes) -> DataFrame:
     """doc_id and text (as bytes) of rows with doc_id and ids; null ids give empty bytes."""
+    ship(tokens.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +360,12 @@ def decode(tokens: DataFrame, ranks: bytes) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, ranks: bytes) -> DataFrame:
-    """doc_id, n_tokens, and the digests of the ids and of what they decode to."""
+    """doc_id, n_tokens, and the digests of the ids and of what they decode to.
+
+    A null or empty text has no tokens, and the digests of nothing. Rows are encoded alone, so repeated rows and ids
+    give equal results; other columns are not read.
+    """
+    ship(docs.sparkSession)
 
     def rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
         ids, first = codec(ranks).encode(data, offsets)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from incident_analytics.llm.arrays import LOWER, Words, mix, slices, utf8
 from incident_analytics.llm.repeats import CHUNK_BYTES, _packed, _short, _unpacked
+from incident_analytics.llm.shared import ship
 
 #: The hash that stands for the end of a text.
 END = np.uint64(0x656E64)
@@ -281,6 +282,7 @@ def _scored(rows: DataFrame) -> DataFrame:
     what the bigrams take from each word, and buckets answer the sums. Nothing goes to the driver or to all tasks
     but two totals.
     """
+    ship(rows.sparkSession)
     size = rows.select(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
     n_chunks = max(-(-size // CHUNK_BYTES), 1)
     counts = rows.filter("trained").select("text").mapInArrow(_counted(lambda t, _: t), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.llm.ranks import ranked
-from incident_analytics.llm.shared import stored
+from incident_analytics.llm.shared import ship, stored
 
 #: Levels of a block above its leaves; a block has 2 ** height leaves at most.
 HEIGHT = 8
@@ -210,6 +210,7 @@ def manifest(leaves: DataFrame, group: str, key: str, height: int = HEIGHT) -> M
     become the digest of both, a lone last one the digest of itself, until one is left. The roots, in order of the
     group's UTF-8 bytes with null first, are the leaves of the last tree. No leaves: no trees.
     """
+    ship(leaves.sparkSession)
     leaves = stored(leaves.select(F.col(group).alias("tree"), key, "digest", "claim"))
     groups = _tree(leaves, key, height)
     tops = groups.roots().select(F.lit("").alias("tree"), F.col("tree").alias("member"), F.col("root").alias("digest"), F.col("root").alias("claim"))

@@ -1,27 +1,32 @@
-"""Near-duplicate documents: min-max hashing, banding, and confirmation on whole shingle sets."""
+"""Near-duplicate documents: min-max hashing, banding, and confirmation on whole shingle sets.
 
-from __future__ import annotations
+Equal sets are one class, so thousands of copies travel once. Classes that share a band are candidates, but the pairs
+of a band are never made: a group of edited copies of one text shares bands all over, though few of its
+pairs are alike enough. First each class is compared with one class of each of its bands, the one that shares
+most bands with others, as the original of many copies does. Bands whose classes are then in one component are
+done. In the others classes meet by their rarest shingles: two sets with a likeness of 0.8 share one of
+their rarest fifth, and at places that leave room for the rest. An edited copy's rarest shingles are its own edits, so
+it meets hardly anybody in vain. This second search is exact: it loses no pair of the classes it is given.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.llm.arrays import LOWER, Rolling, Words, by_text, mix
 from incident_analytics.llm.components import components
-from incident_analytics.llm.shared import stored
+from incident_analytics.llm.shared import ship, stored
 
 #: Words of a shingle; least similarity in per cent.
 SHINGLE, LIKENESS = 4, 80
 #: Bands of two permutations each; with minimum and maximum a band holds four values. A pair of
 #: similarity 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, below 1e-7.
 BANDS = 32
-#: Bands of more classes get other pivots for some rounds before all pairs left are compared.
-LARGE, ROUNDS = 64, 3
-#: Longs of a sketch, which holds two bits of each of the 4 * BANDS values.
-SKETCH = BANDS * 8 // 64
+#: Longs of a sketch, which holds a byte of each of the 4 * BANDS values.
+SKETCH = 4 * BANDS // 8
 
 _A = mix(np.arange(2 * BANDS, dtype=np.uint64) + np.uint64(1 << 40)) | np.uint64(1)
 _B = mix(np.arange(2 * BANDS, dtype=np.uint64) + np.uint64(1 << 41))
@@ -59,12 +64,12 @@ def _class_of(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def signatures(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> dict[str, object]:
-    """Set size, class digests and band keys of each text; an empty set has no class and no bands."""
+    """Set size, class digests, sketch and band keys of each text; an empty set has no class and no bands."""
     hashes, first = shingle_sets(data, offsets, k)
     size = np.diff(first)
     full = np.flatnonzero(size)
     bands = np.zeros((len(full), BANDS), np.uint64)
-    sketch = np.zeros((len(full), SKETCH), np.uint64)
+    sketch = np.zeros((len(full), 4 * BANDS), np.uint8)
     if len(full):
         at = first[:-1][full]
         value = np.empty_like(hashes)
@@ -73,8 +78,7 @@ def signatures(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> dict[
             value += _B[i]
             for j, end in enumerate((np.minimum.reduceat(value, at), np.maximum.reduceat(value, at))):
                 bands[:, i // 2] = mix(bands[:, i // 2] ^ end)
-                bit = 2 * (2 * i + j)
-                sketch[:, bit // 64] |= (mix(end) & np.uint64(3)) << np.uint64(bit % 64)
+                sketch[:, 2 * i + j] = mix(end) & np.uint64(255)
         bands = mix(bands + np.arange(BANDS, dtype=np.uint64))
     ends = np.zeros(len(size) + 1, np.int32)
     np.cumsum(np.where(size > 0, BANDS, 0), out=ends[1:])
@@ -89,122 +93,118 @@ def signatures(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> dict[
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """node and the sorted shingle hashes of each row."""
+    """Class digests and the sorted shingle hashes of each row."""
 
     def rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
         hashes, first = shingle_sets(data, offsets, k)
-        return {
-            "node": _class_of(hashes, first)[0],
-            "shingles": pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64))),
-        }
-
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-    return docs.select("text").mapInArrow(by_text(rows, schema), "node long, shingles array<long>")
-
+        one, two = _class_of(hashes, first)
+        return {"_one": one, "_two": two, "shingles": pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))}
 
-def _confirmed(likeness: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            lists = [batch.column(c) for c in ("x", "y")]
-            for i in range(batch.num_rows):
-                x, y = (np.asarray(c[i].values).view(np.uint64) for c in lists)
-                both = np.searchsorted(x, y)
-                common = int((x[np.minimum(both, len(x) - 1)] == y).sum())
-                keep.append(100 * common >= likeness * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
+    schema = pa.schema([("_one", pa.int64()), ("_two", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    return docs.select("text").mapInArrow(by_text(rows, schema), "_one long, _two long, shingles array<long>")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, likeness: int) -> DataFrame:
     """Pairs (a, b) whose whole shingle sets are alike; each set goes to its pairs."""
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return with_b.select("a", "b", "x", "y").mapInArrow(_confirmed(likeness), "a long, b long")
+    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+    with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    common = with_b.select("a", "b", (F.size("x") + F.size("y")).alias("both"), F.size(F.array_intersect("x", "y")).alias("common"))
+    return common.filter(F.lit(100) * F.col("common") >= likeness * (F.col("both") - F.col("common"))).select("a", "b")
+
+
+def _differing(likeness: int) -> Column:
+    """Whether two sketches differ in more bytes than alike sets do, but for six standard deviations."""
+    values, agree = 4 * BANDS, likeness / 100 + (1 - likeness / 100) / 256
+    most = values * (1 - agree) + 6 * (values * agree * (1 - agree)) ** 0.5
+    differ = F.lit(0)
+    for i in range(SKETCH):
+        odd = F.col("sketch")[i].bitwiseXOR(F.col("_sketch")[i])
+        # The lowest bit of each byte tells whether any of its bits is set.
+        for step in (4, 2, 1):
+            odd = odd.bitwiseOR(F.shiftrightunsigned(odd, step))
+        differ = differ + F.bit_count(odd.bitwiseAND(F.lit(0x0101010101010101)))
+    return differ > F.lit(most)
 
 
-def _pairs(bands: DataFrame, pivots: DataFrame, likeness: int) -> DataFrame:
-    """Pairs of each band's pivot with the band's classes of other components and of a possible size."""
-    one = pivots.select("band", *(F.col(f"pivot.{c}").alias(f"_{c}") for c in ("node", "label", "size", "sketch")))
-    return _possible(bands.join(one, "band").filter("label <> _label"), likeness)
+def _with_pivots(bands: DataFrame, likeness: int) -> DataFrame:
+    """Pairs of each band's pivot with the band's other classes of a possible size, whose sketches don't contradict."""
+    pivots = bands.groupBy("band").agg(F.max(F.struct("degree", "id", "size", "sketch")).alias("pivot"))
+    one = pivots.select("band", *(F.col(f"pivot.{c}").alias(f"_{c}") for c in ("id", "size", "sketch")))
+    met = bands.join(one, "band").filter("id <> _id").filter(f"100 * least(size, _size) >= {likeness} * greatest(size, _size)")
+    pairs = met.filter(~_differing(likeness)).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
+    return pairs.distinct()
 
 
-def _possible(pairs: DataFrame, likeness: int) -> DataFrame:
-    """Pairs whose sizes allow the likeness, and whose sketches don't contradict it.
+def prefix_pairs(sets: DataFrame, likeness: int = LIKENESS) -> DataFrame:
+    """Pairs (a, b) of `sets` (id, label, shingles) of different labels, among them all with the likeness.
 
-    Two values of a sketch agree with probability likeness + (1 - likeness) / 4. A pair that falls eight
-    standard deviations below is left out; a true link does so far more rarely than it misses all bands.
+    The shingles of each set are put in one order, the rarest first. Sets x and y, y not larger, with the likeness t share
+    t / (1 + t) of both sizes together, so a shared shingle is among the first |x| - t |x| + 1 of x and the first
+    |y| - 2t / (1 + t) |y| + 1 of y, and what follows in both sets is enough for the rest.
     """
-    sized = pairs.filter(f"100 * least(size, _size) >= {likeness} * greatest(size, _size)")
-    agree = likeness / 100 + (1 - likeness / 100) / 4
-    values = 4 * BANDS
-    most = values * (1 - agree) + 8 * (values * agree * (1 - agree)) ** 0.5
-    differ = F.lit(0)
-    for i in range(SKETCH):
-        odd = F.col("sketch")[i].bitwiseXOR(F.col("_sketch")[i])
-        differ = differ + F.bit_count(odd.bitwiseOR(F.shiftrightunsigned(odd, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    sized = sized.filter(differ <= F.lit(most))
-    return sized.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+    named = sets.select("id", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    # A shingle of one set alone meets nobody; its place counts.
+    counts = named.groupBy("shingle").agg(F.count("*").alias("times")).filter("times > 1")
+    shared = named.join(counts, "shingle").groupBy("id", "label", "size").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("order"))
+    shared = shared.withColumn("alone", F.col("size") - F.size("order"))
+    t = likeness
+    probes = F.col("size") - F.ceil(F.col("size") * t / F.lit(100)) + 1 - F.col("alone")
+    rows = shared.filter(probes > 0).select(
+        "id", "label", "size", "alone", F.posexplode(F.slice("order", 1, F.least(probes, F.size("order")).cast("int"))).alias("at", "entry")
+    )
+    rows = rows.select("id", "label", "size", (F.col("alone") + F.col("at")).cast("int").alias("at"), F.col("entry.shingle").alias("shingle"))
+    y = rows.select("shingle", *(F.col(c).alias(f"_{c}") for c in ("id", "label", "size", "at")))
+    y = y.filter(f"_at <= _size - ceil(_size * {2 * t} / {100 + t}.0)")
+    smaller = (F.col("_size") < F.col("size")) | ((F.col("_size") == F.col("size")) & (F.col("_id") < F.col("id")))
+    possible = F.expr(f"100 * _size >= {t} * size")
+    room = F.least(F.col("size") - F.col("at"), F.col("_size") - F.col("_at"))
+    enough = F.expr(f"{100 + t}") * room >= t * (F.col("size") + F.col("_size"))
+    met = rows.join(y, (rows.shingle == y.shingle) & smaller & possible & (F.col("label") != F.col("_label")) & enough)
+    return met.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, likeness: int = LIKENESS) -> DataFrame:
     """doc_id, n_shingles and component_id of each row.
 
-    Rows with equal sets are one class, so thousands of copies travel once. Classes that share a band are
-    candidates. All pairs of a band are never made at once: first the classes of a band are compared
-    with one pivot, the class that shares most bands with others, as the original of many near copies
-    does. Pairs within one component then need no comparison. Large bands that still hold several
-    components get other pivots for some rounds; at last come the pairs that are left, so no link is lost.
     A row without words has no shingle and is its own component; rows that share a doc_id share its
     component if their texts do; component_id is null only if all doc_ids of a component are.
     """
+    ship(docs.sparkSession)
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     fields = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sketch", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))]
     shape = "doc_id long, n_shingles long, node long, check long, sketch array<long>, bands array<long>"
     rows = stored(docs.mapInArrow(by_text(lambda d, o: signatures(d, o, k), pa.schema(fields)), shape))
     filled = rows.filter("node is not null")
-    classes = filled.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.min("sketch").alias("sketch"))
-    # Equal sets have equal bands, so one row for each class and band is enough.
-    members = filled.select("node", F.explode("bands").alias("band")).distinct()
+    grouped = filled.groupBy("node", "check").agg(
+        F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands")
+    )
+    # Both digests tell classes apart; a number stands for them from here on.
+    classes = stored(grouped.withColumn("id", F.monotonically_increasing_id()))
+    members = classes.select("id", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     in_bands = stored(members.join(shared, "band"))
-    degree = in_bands.groupBy("node").agg(F.sum("n").alias("degree")).join(classes, "node")
-    bands = stored(in_bands.join(degree.select("node", "degree", "size", "sketch"), "node").select("band", "node", "degree", "size", "sketch"))
-    one = degree.select(F.col("least").alias("_least"), F.col("node").alias("_node"))
-    texts = docs.join(one.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_least"))).select("text")
-    sets = stored(_sets(texts, k).groupBy("node").agg(F.first("shingles").alias("shingles")))
-
-    named = bands.withColumn("label", F.col("node"))
-    first = named.groupBy("band").agg(F.max(F.struct("degree", "node", "label", "size", "sketch")).alias("pivot"))
-    pairs = stored(_pairs(named, first, likeness))
-    tested, links = pairs, stored(_links(pairs, sets, likeness))
-    for turn in range(ROUNDS + 1):
-        labels = components(links)
-        named = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        parts = named.groupBy("band", "label").agg(F.count("*").alias("n"))
-        open_ = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("all")).filter("parts > 1 and all > 2")
-        named = stored(named.join(open_.select("band", "all"), "band"))
-        size = named.agg(F.max("all").alias("most")).first()["most"]
-        if not size:
-            break
-        last = turn == ROUNDS or size <= LARGE
-        if last:
-            other = named.select("band", *(F.col(c).alias(f"_{c}") for c in ("node", "label", "size", "sketch")))
-            pairs = _possible(named.join(other, "band").filter("node < _node and label <> _label"), likeness)
-        else:
-            chosen = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "size", "sketch")
-            named = named.filter(F.col("all") > LARGE)
-            pairs = _pairs(named, named.groupBy("band").agg(F.max(chosen).alias("pivot")), likeness)
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
-        links = stored(links.union(_links(pairs, sets, likeness)))
-        tested = tested.union(pairs)
-        if last:
-            labels = components(links)
-            break
-    known = classes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
+    degree = in_bands.groupBy("id").agg(F.sum("n").alias("degree")).withColumnRenamed("id", "_id")
+    busy = stored(classes.join(degree, classes.id == degree._id).select("id", "node", "check", "least", "size", "sketch", "degree"))
+    # One text of each of these classes: ids first, as rows may share one.
+    wanted = busy.select(F.col("least").alias("_least")).distinct()
+    texts = docs.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi")
+    found = _sets(texts, k).join(busy.select("id", "node", "check"), (F.col("_one") == F.col("node")) & (F.col("_two") == F.col("check")))
+    sets = stored(found.groupBy("id").agg(F.first("shingles").alias("shingles")))
+
+    named = in_bands.select("band", "id").join(busy.select("id", "degree", "size", "sketch"), "id")
+    links = stored(_links(stored(_with_pivots(named, likeness)), sets, likeness))
+    label = F.coalesce("label", "id").alias("label")
+    labels = in_bands.select("band", "id").join(components(links).withColumnRenamed("node", "id"), "id", "left").select("band", "id", label)
+    labels = stored(labels)
+    # Bands of several components are open; pairs of one component need no comparison.
+    open_ = labels.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("band")
+    left = labels.join(open_, "band", "left_semi").select("id", "label").distinct()
+    pairs = stored(prefix_pairs(sets.join(left, "id"), likeness))
+    links = links.union(_links(pairs, sets, likeness))
+    known = classes.join(components(links).withColumnRenamed("node", "_id"), F.col("id") == F.col("_id"), "left")
+    known = known.select("node", "check", "least", F.coalesce("label", "id").alias("label"))
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_class = known.join(least, "label").select(F.col("node").alias("_node"), "component_id")
-    return rows.join(of_class, rows.node == of_class._node, "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    of_class = known.join(least, "label").select(F.col("node").alias("_node"), F.col("check").alias("_check"), "component_id")
+    joined = rows.select("doc_id", "n_shingles", "node", "check").join(of_class, (F.col("node") == F.col("_node")) & (F.col("check") == F.col("_check")), "left")
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return joined.select("doc_id", "n_shingles", own.alias("component_id"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.shared import stored
+from incident_analytics.llm.shared import ship, stored
 
 #: Neighbours of each query; curves; dimensions and bits per dimension of a curve.
 NEIGHBOURS, CURVES, PROJECTED, BITS = 10, 4, 8, 7
@@ -317,6 +317,7 @@ class Index:
 
 def indexed(vectors: DataFrame, asked: Column, k: int = NEIGHBOURS, curves: int = CURVES) -> tuple[Index, DataFrame]:
     """The index of `vectors` (vec_id, embedding), and the queries among them: query_id and node of their class."""
+    ship(vectors.sparkSession)
     kind = "f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "f8"
     points = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if kind == "f4" else "array<double>"))
     points = points.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from incident_analytics.llm.arrays import (
     Rolling,
     Words,
-    byte_hashes,
     by_text,
     later_copies,
     mix,
+    numbered,
     repeated,
     sums,
 )
+from incident_analytics.llm.shared import ship
 
 #: Characters counted as symbols.
 SYMBOLS = np.zeros(256, bool)
@@ -79,8 +80,8 @@ def measure(data: np.ndarray, offsets: np.ndarray, limits: Limits = Limits()) ->
     a, b = np.searchsorted(words.start, begins), np.searchsorted(words.start, ends)
     with_word = b > a
     begins, ends, line_text, a, b = (x[with_word] for x in (begins, ends, line_text, a, b))
-    keys = mix(byte_hashes(data).run(begins, ends) ^ mix(line_text.astype(np.uint64)))
-    copy = later_copies(keys)
+    _, line = numbered(data, begins, ends)
+    copy = later_copies(line * n_texts + line_text)
     n_dup_lines = np.bincount(line_text[copy], minlength=n_texts)
     before = np.concatenate(([0], np.cumsum(chars)))
     line_chars = np.bincount(line_text[copy], (before[b] - before[a])[copy], minlength=n_texts)
@@ -118,6 +119,7 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     A null or empty text has no words, fails the base rule and is not kept. Rows are judged alone,
     so repeated rows and ids get equal verdicts. Other columns are not read.
     """
+    ship(docs.sparkSession)
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     fields = [("doc_id", pa.int64()), *((c, pa.int64()) for c in longs), ("base_failed", pa.bool_()), ("kept", pa.bool_())]
     shape = "doc_id long, " + ", ".join(f"{c} long" for c in longs) + ", base_failed boolean, kept boolean"

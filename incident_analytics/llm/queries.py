@@ -3,25 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_analytics.llm import bpe, lm, merkle, minhash, mixing, neighbours, oracles, pii, quality, repair, spotsigs, suffix_tree, suffixes, toxicity
+from incident_analytics.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ROOT = str(Path(__file__).resolve().parents[2])
-
-
-def send_package(spark: SparkSession) -> None:
-    """Lets workers import this package from where the driver did, whatever folder they start in."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+#: Operators call it themselves; callers that send functions of this package on their own may too.
+send_package = ship
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -128,12 +123,10 @@ def repaired_rows(rows: DataFrame) -> DataFrame:
 
 
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    send_package(spark)
     return repaired_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    send_package(spark)
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0)
 

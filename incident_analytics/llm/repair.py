@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.shared import stored
+from incident_analytics.llm.shared import ship, stored
 
 #: Rows of a piece.
 PIECE = 64
@@ -364,6 +364,7 @@ def repaired(rows: DataFrame) -> Repair:
     is one space; null conv_id is a conversation like any other. Equal rows are copies side by side, of which the first may
     stay. Other columns are not read. No rows: no conversations.
     """
+    ship(rows.sparkSession)
     space = [F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")]
     rows = rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), *space, F.col("times").cast("long"))
     pieces = _solved(rows)

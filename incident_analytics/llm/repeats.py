@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.llm.arrays import Rolling, slices, utf8
+from incident_analytics.llm.shared import ship
 
 _LOW = np.uint64(0xFFFFFFFF)
 #: Bytes of text of a chunk, and buckets per chunk.
@@ -385,6 +386,7 @@ def without_repeats(docs: DataFrame, units: Units, finish, schema: pa.Schema, sh
     docs: doc_id (long, not null) and text. finish(data, read, covered, offsets) gives the columns of a part
     besides doc_id. Texts are shuffled once; the three rounds read the same shuffle.
     """
+    ship(docs.sparkSession)
     size = docs.select(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
     n_chunks = max(-(-size // CHUNK_BYTES), 1)
     n_buckets = n_chunks * BUCKETS_PER_CHUNK

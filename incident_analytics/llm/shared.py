@@ -1,10 +1,32 @@
-"""The folder that driver and executors share."""
+"""What driver and executors share: a folder, and this package."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_PACKAGE = Path(__file__).resolve().parents[1]
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the workers, once for each context; every operator with Python on the executors begins so.
+
+    Executors need neither the package nor the driver's folders: Spark hands the archive out.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_shipped", None) == str(_PACKAGE):
+        return
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp()), f"{_PACKAGE.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(_PACKAGE.rglob("*.py")):
+            out.write(path, path.relative_to(_PACKAGE.parent))
+    context.addPyFile(archive)
+    context._shipped = str(_PACKAGE)
 
 
 def cut(df: DataFrame) -> DataFrame:

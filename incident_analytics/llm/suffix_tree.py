@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.arrays import Words, sums
+from incident_analytics.llm.arrays import Words, numbered, sums
 from incident_analytics.llm.bpe import spread
 from incident_analytics.llm.repeats import Units, without_repeats
 
@@ -62,7 +62,9 @@ def _first_of(length: int):
         begin = words.first[:-1]
         at = spread(begin, count)
         owner, own_place = np.repeat(doc, count), np.repeat(place, count) + at - np.repeat(begin, count)
-        found, node = deep_nodes(words.hashes(), at, length)
+        # Words are numbered by their bytes, so nodes hold equal words, not equal hashes.
+        _, word = numbered(data, words.start, words.end)
+        found, node = deep_nodes(word, at, length)
         index = np.full(len(words), -1)
         index[at] = np.arange(len(at))
         i = index[found]

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from incident_analytics.llm.arrays import LOWER, Rolling, by_text, byte_hashes, mix, slices, utf8
+from incident_analytics.llm.arrays import LOWER, Rolling, by_text, mix, slices, spans, utf8
 from incident_analytics.llm.bpe import spread
-from incident_analytics.llm.shared import stored
+from incident_analytics.llm.shared import ship, stored
 
 #: Insults to start from; training adds the terms that its labels show.
 SEED_TERMS = ("idiot", "moron", "scum", "trash", "clown", "loser", "stupid", "pathetic", "worthless", "disgusting")
@@ -210,7 +210,7 @@ def _rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
 def _copy_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     """A key per text that near copies mostly share and other texts hardly: two least hashes of its runs of SHINGLE words."""
-    words = Rolling(byte_hashes(data).run(start, end))
+    words = Rolling(spans(data, start, end))
     first = np.searchsorted(text, np.arange(n + 1))
     at = np.arange(len(start))
     last = first[text + 1]
@@ -324,6 +324,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Without rows of both labels, a text is toxic if an unquoted exact hit of a seed term stands in it.
     """
+    ship(docs.sparkSession)
     rows = stored(_rows(docs, labels, sample))
     lexicon, weights = _lexicon(rows)
     others = _other_words(rows, lexicon)
@@ -339,6 +340,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def with_score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """The documents with a column of probabilities that they are toxic; every whole text, nulls as empty."""
+    ship(docs.sparkSession)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     sent = docs.sparkSession.sparkContext.broadcast(Scorer(model.terms, model.weights, model.others))
     coefficients = model.coefficients

@@ -61,15 +61,80 @@ def near_copies(seed, n=120):
     return [*rows, (n, ""), (n + 1, None), (n + 2, " \n"), (n + 3, "one"), (n + 4, "ONE")]
 
 
-@pytest.mark.parametrize("large", [2, 64])
-def test_near_duplicates(spark, monkeypatch, large):
-    monkeypatch.setattr(minhash, "LARGE", large)
-    rows = near_copies(large)
+@pytest.mark.parametrize("seed", [2, 64])
+def test_near_duplicates(spark, seed):
+    rows = near_copies(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 node", "0 band", "'x' label")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
     assert got == components_by_hand(dict(rows))
 
 
+def test_many_edited_copies(spark):
+    """A large group of copies, many of them too far from each other: whole links, few comparisons."""
+    rng = random.Random(8)
+    base = [f"b{rng.randrange(3000)}" for _ in range(120)]
+    rows = []
+    for i in range(2000):
+        words = list(base)
+        for _ in range(rng.randint(0, 14)):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    made = []
+    whole = minhash.prefix_pairs
+    minhash.prefix_pairs = lambda *a: made.append(whole(*a)) or made[-1]
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    finally:
+        minhash.prefix_pairs = whole
+    sets = [{" ".join(t.split()[i : i + 4]) for i in range(117)} for _, t in rows]
+    root = list(range(2000))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(2000):
+        for b in range(a):
+            n = len(sets[a] & sets[b])
+            if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert got == {i: (len(sets[i]), find(i)) for i in range(2000)}
+    assert len(set(map(find, range(2000)))) > 100
+    assert made[0].count() < 10 * 2000
+
+
+def test_prefix_pairs_lose_no_pair(spark):
+    rng = random.Random(9)
+    sets = []
+    for i in range(300):
+        old = rng.choice(sets)[2] if sets and rng.random() < 0.7 else []
+        kept = [x for x in old if rng.random() < 0.93]
+        fresh = [rng.randrange(rng.choice([30, 10**6])) for _ in range(rng.randint(1, 6))]
+        sets.append((i, i // 3, sorted({*kept, *fresh})))
+    got = {(r.a, r.b) for r in minhash.prefix_pairs(spark.createDataFrame(sets, "id long, label long, shingles array<long>")).collect()}
+    alike = set()
+    for i, x, a in sets:
+        for j, y, b in sets[:i]:
+            n = len(set(a) & set(b))
+            if x != y and 100 * n >= 80 * (len(a) + len(b) - n):
+                alike.add((j, i))
+    assert alike <= got and len(alike) > 20
+
+
+def test_texts_of_null_ids_are_read_once(spark, monkeypatch):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, f"{words} {i}") for i in range(600)]
+    read = []
+    plain = minhash._sets
+    monkeypatch.setattr(minhash, "_sets", lambda texts, k: read.append(texts.count()) or plain(texts, k))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [tuple(r) for r in got.distinct().collect()] == [(None, 58, None)]
+    assert read == [600]
+
+
 def test_near_duplicates_odd_tables(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (1, None), (1, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
