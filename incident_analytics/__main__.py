@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+import sys
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from incident_analytics.operators import STRATEGIES
 from incident_analytics.plans import (
@@ -14,6 +15,7 @@ from incident_analytics.plans import (
     station_distance,
     top_months,
     top_months_report,
+    top_months_script,
     top_months_sql,
     victims_by_income,
 )
@@ -23,6 +25,7 @@ from incident_analytics.plans.victims import SIDES
 from incident_analytics.sources import (
     Conversion,
     convert,
+    convert_new,
     read_incidents,
     read_income,
     read_revgeo,
@@ -63,7 +66,7 @@ def _parser() -> argparse.ArgumentParser:
         return command
 
     months = report("top-months", "months with the most incidents of each year")
-    months.add_argument("--api", choices=("dataframe", "sql"), default="dataframe")
+    months.add_argument("--api", choices=("dataframe", "sql", "script"), default="dataframe")
     months.add_argument("-k", type=int, default=3)
     months.add_argument("--pad", action="store_true", help="pad the columns for printing")
 
@@ -71,7 +74,7 @@ def _parser() -> argparse.ArgumentParser:
     dayparts.add_argument("--api", choices=("dataframe", "sql"), default="dataframe")
     dayparts.add_argument("--premise", default="STREET")
     dayparts.add_argument("--labels", choices=sorted(_LABELS), default="english")
-    dayparts.add_argument("--prefix2", action="store_true", help="take the first two digits for the hour, with --api dataframe")
+    dayparts.add_argument("--prefix2", action="store_true", help="take the first two digits for the hour")
 
     victims = report("victims", "victims by descent where incomes are highest or lowest")
     victims.add_argument("--revgeo", required=True)
@@ -88,30 +91,30 @@ def _parser() -> argparse.ArgumentParser:
     copy = commands.add_parser("convert", help="CSV to Parquet")
     copy.add_argument("--table", choices=sorted(TABLES), help="give the copy this table's types")
     copy.add_argument("--partition-by", action="append", default=[])
+    copy.add_argument("--manifest", help="sources are folders; convert only files that this table doesn't list yet")
     copy.add_argument("paths", nargs="+", metavar="SOURCE TARGET", help="one pair per file")
     dialect(copy)
     return parser
 
 
-def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """The result of the report that the arguments name."""
+def build(spark: SparkSession, args: argparse.Namespace, account: Observation | None = None) -> DataFrame:
+    """The result of the report that the arguments name; ``account`` counts unreadable values of the incidents."""
     dialect = {"fmt": args.format, "sep": args.in_sep, "multi_line": args.multi_line}
     columns = list(_COLUMNS[args.command])
     if args.command == "top-months" and args.format == "csv":
         columns.append("date_occ_text")
-    incidents = read_incidents(spark, *args.incidents, columns=columns, **dialect)
+    incidents = read_incidents(spark, *args.incidents, columns=columns, account=account, **dialect)
     if args.command == "top-months":
-        if args.api == "sql":
-            ranked = top_months_sql(spark, incidents, args.k)
-        else:
+        if args.api == "dataframe":
             ranked = top_months(incidents, args.k)
+        else:
+            by_text = top_months_sql if args.api == "sql" else top_months_script
+            ranked = by_text(spark, incidents, args.k)
         return top_months_report(ranked) if args.pad else ranked
     if args.command == "dayparts":
-        if args.api == "sql":
-            if args.prefix2:
-                raise ValueError("--prefix2 needs --api dataframe")
-            return daypart_counts_sql(spark, incidents, args.premise, _LABELS[args.labels])
         compat = "prefix2" if args.prefix2 else None
+        if args.api == "sql":
+            return daypart_counts_sql(spark, incidents, args.premise, _LABELS[args.labels], compat)
         return daypart_counts(incidents, args.premise, _LABELS[args.labels], compat)
     if args.command == "victims":
         return victims_by_income(
@@ -127,6 +130,12 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return station_distance(incidents, stations, args.route)
 
 
+def _tell(name: str, counts: Mapping[str, int]) -> None:
+    """Say on standard error how many rows were read and which columns had unreadable values."""
+    bad = [f"{n} unreadable in {c}" for c, n in counts.items() if c != "rows" and n]
+    print(f"{name}: {counts['rows']} rows" + "".join(f", {b}" for b in bad), file=sys.stderr)
+
+
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     """Carry out one command line."""
     args = _parser().parse_args(argv)
@@ -140,15 +149,25 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
             )
             for source, target in zip(args.paths[::2], args.paths[1::2], strict=True)
         ]
-        convert(spark, jobs)
+        if args.manifest:
+            for job in jobs:
+                for path in convert_new(spark, job, args.manifest):
+                    print(f"converted {path}", file=sys.stderr)
+            return
+        for job, counts in zip(jobs, convert(spark, jobs), strict=True):
+            _tell(job.source, counts)
         return
-    result = build(spark, args)
+    # A report of no rows at all reads nothing, so nothing would be counted.
+    account = Observation() if min(getattr(args, "k", 1), getattr(args, "n", 1)) > 0 else None
+    result = build(spark, args, account)
     if args.out is None:
         result.show(args.show, truncate=False)
     elif args.out_format == "parquet":
         write_parquet(result, args.out)
     else:
         write_csv(result, args.out, args.sep)
+    if account is not None:
+        _tell("incidents", account.get)
 
 
 if __name__ == "__main__":

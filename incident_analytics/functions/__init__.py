@@ -2,6 +2,7 @@
 
 from incident_analytics.functions.geo import haversine_km, is_degrees, is_located
 from incident_analytics.functions.money import currency_to_int
+from incident_analytics.functions.sums import mean_of_units, sum_of_units, to_units
 from incident_analytics.functions.text import DESCENT_LABELS, decode, has_prefix, pad
 from incident_analytics.functions.times import (
     DAYPARTS,
@@ -28,7 +29,10 @@ __all__ = [
     "hour_of_hhmm",
     "is_degrees",
     "is_located",
+    "mean_of_units",
     "pad",
+    "sum_of_units",
     "text_year",
+    "to_units",
     "us_timestamp",
 ]

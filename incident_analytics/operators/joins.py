@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,20 +20,25 @@ _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.Tim
 _ROW_OVERHEAD = 16
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes that the rows of ``df`` take, measured: one aggregation job over it."""
+def _bytes(df: DataFrame) -> DataFrame:
     width = F.lit(_ROW_OVERHEAD)
     for field in df.schema.fields:
         width = width + F.lit(8)
         if not isinstance(field.dataType, _FIXED_WIDTH):
             text = F.col(f"`{field.name}`").cast("string")
             width = width + F.coalesce(F.octet_length(text), F.lit(0))
-    return df.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"] or 0
+    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"))
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` was measured to be at most ``max_bytes``."""
-    return measured_bytes(df) <= max_bytes
+def measured_bytes(*frames: DataFrame) -> int:
+    """Bytes that the rows of the largest of ``frames`` take, measured: one job over all of them."""
+    each = [_bytes(df) for df in frames]
+    return reduce(DataFrame.union, each).agg(F.max("bytes").alias("bytes")).first()["bytes"]
+
+
+def fits_broadcast(*frames: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether each of ``frames`` was measured to be at most ``max_bytes``, in one job."""
+    return measured_bytes(*frames) <= max_bytes
 
 
 def join_with(
@@ -70,7 +76,7 @@ def join_with(
         if isinstance(on, Column):
             raise ValueError("shuffle_replicate_nl joins by column names, not by a condition")
         return salted_join(left, right, on, how, salts)
-    if strategy == "broadcast" and not fits_broadcast(right, max_broadcast_bytes):
+    if strategy == "broadcast" and not fits_broadcast(right, max_bytes=max_broadcast_bytes):
         strategy = "merge"
     if strategy != "auto":
         right = right.hint(strategy)
@@ -86,10 +92,13 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join that spreads each key of ``left`` over ``salts`` tasks.
 
-    For few or skewed keys: without the salt all rows of one key meet in one task. The
-    right rows are replicated ``salts`` times.
+    For few keys that are known to be skewed: without the salt all rows of one key meet in one task. The
+    right rows are replicated ``salts`` times; with one salt it is the plain merge join, which can use a
+    partitioning that is there. `join_heavy_keys` finds the keys that need it and replicates for those only.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if salts == 1:
+        return left.join(right.hint("merge"), keys, how)
     salt = free_name("salt", left, right)
     # Null keys match nothing. Dropped here, they do not travel as one hot key.
     for key in keys:

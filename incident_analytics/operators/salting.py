@@ -17,8 +17,8 @@ def _hashable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def dealt_salt(df: DataFrame, salts: int = DEFAULT_SALTS) -> Column:
-    """A salt from 0 to ``salts - 1`` for each row of ``df``.
+def dealt_salt(df: DataFrame, salts: int | Column = DEFAULT_SALTS) -> Column:
+    """A salt from 0 to ``salts - 1`` for each row of ``df``; ``salts`` may differ by row.
 
     It depends on the content of the row and on the partition the row is read in. So even
     exact copies of one row spread, and a task that is run again deals out the same salts,
@@ -28,7 +28,7 @@ def dealt_salt(df: DataFrame, salts: int = DEFAULT_SALTS) -> Column:
     hashed = [f"`{f.name}`" for f in df.schema.fields if _hashable(f.dataType)]
     content = F.xxhash64(*hashed) if hashed else F.monotonically_increasing_id()
     mixed = content + F.spark_partition_id()
-    return F.pmod(mixed, F.lit(salts)).cast("int")
+    return F.pmod(mixed, salts if isinstance(salts, Column) else F.lit(salts)).cast("int")
 
 
 def free_name(wanted: str, *frames: DataFrame) -> str:

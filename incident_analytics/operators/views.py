@@ -28,6 +28,22 @@ def run_sql(
     return spark.sql(text, args=dict(values) if values else None, **(tables or {}))
 
 
+def run_script(
+    spark: SparkSession,
+    text: str,
+    tables: Mapping[str, DataFrame] | None = None,
+    values: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """Run several SQL statements, ``BEGIN ... END``, and return the result of the last one.
+
+    Tables and values are bound by name as in `run_sql`. Variables (``DECLARE``, ``SET``) and branches (``IF``) live
+    in the script alone. The statements before the last one run at once.
+    """
+    if not re.fullmatch(r"(?is)\s*begin\b.*\bend\s*;?\s*", text):
+        raise ValueError("a script is BEGIN ... END")
+    return run_sql(spark, text, tables, values)
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from incident_analytics.functions.times import DAYPARTS, daypart_hour, daypart_of_hour
 from incident_analytics.operators.views import run_sql
 
+# How the text of a time gives the hour, and what a time without one is called, by compatibility.
+_HOUR_SQL = {
+    None: "CAST(floor(try_cast(trim(time_occ) AS INT) / 100) AS INT)",
+    "prefix2": "try_cast(substring(CAST(try_cast(trim(time_occ) AS INT) AS STRING), 1, 2) AS INT)",
+}
+_UNKNOWN_SQL = {None: "'Unknown'", "prefix2": ":night"}
 DAYPART_COUNTS_SQL = """
 WITH timed AS (
-  SELECT CAST(floor(try_cast(trim(time_occ) AS INT) / 100) AS INT) AS hour
+  SELECT %(hour)s AS hour
   FROM {incidents}
   WHERE premis_desc = :premise
 ),
@@ -19,7 +25,7 @@ hours AS (
 ),
 labelled AS (
   SELECT CASE
-           WHEN hour IS NULL THEN 'Unknown'
+           WHEN hour IS NULL THEN %(unknown)s
            WHEN hour BETWEEN 5 AND 11 THEN :morning
            WHEN hour BETWEEN 12 AND 16 THEN :afternoon
            WHEN hour BETWEEN 17 AND 20 THEN :evening
@@ -58,9 +64,11 @@ def daypart_counts_sql(
     incidents: DataFrame,
     premise: str = "STREET",
     labels: tuple[str, str, str, str] = DAYPARTS,
+    compat: str | None = None,
 ) -> DataFrame:
     """`daypart_counts` as SQL text."""
+    if compat not in _HOUR_SQL:
+        raise ValueError(f"unknown compat mode {compat!r}")
+    text = DAYPART_COUNTS_SQL % {"hour": _HOUR_SQL[compat], "unknown": _UNKNOWN_SQL[compat]}
     values = dict(zip(("morning", "afternoon", "evening", "night"), labels, strict=True))
-    return run_sql(
-        spark, DAYPART_COUNTS_SQL, {"incidents": incidents}, {"premise": premise, **values}
-    )
+    return run_sql(spark, text, {"incidents": incidents}, {"premise": premise, **values})

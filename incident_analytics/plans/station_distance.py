@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.functions.geo import haversine_km, is_located
+from incident_analytics.functions.sums import mean_of_units, to_units
 from incident_analytics.functions.text import has_prefix
-from incident_analytics.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, salted_join
-from incident_analytics.operators.salting import DEFAULT_SALTS
+from incident_analytics.operators.heavy import HEAVY_SHARE, join_heavy_keys
+from incident_analytics.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast
 
 ROUTES = ("auto", "broadcast", "repartition")
 
@@ -25,24 +26,24 @@ def station_distance(
     stations: DataFrame,
     route: str = "auto",
     prefix: str = "1",
-    salts: int = DEFAULT_SALTS,
+    heavy_share: float = HEAVY_SHARE,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Per division: division, average_distance (km, two decimals), incidents_total.
 
     Most incidents first. An incident belongs to the station whose ``prec`` is its area.
 
-    All routes count equal positions of an area first and average with those weights, so they
-    give the same figures; they differ in the join of the counts with the stations:
+    The mean is exact to the last place: distances are summed as whole micrometres, so all routes, runs and
+    numbers of partitions give the same figures. The routes differ in the join:
 
     ``auto``
         plain join, Spark chooses.
     ``broadcast``
-        map-side join: the stations go to every task. Stations that measure more than
-        ``max_broadcast_bytes`` continue as ``repartition``; that changes the plan only.
+        map-side join: the stations go to every task, and an incident leaves its task as part of a sum.
+        Stations that measure more than ``max_broadcast_bytes`` continue as ``repartition``.
     ``repartition``
-        reduce-side join. There are few areas and they are uneven, so a partition per area
-        would keep few tasks busy: each area is spread over ``salts`` tasks.
+        reduce-side join by area. Areas of more than ``heavy_share`` of the incidents are spread over
+        several tasks, see `join_heavy_keys`.
     """
     if route not in ROUTES:
         raise ValueError(f"unknown route {route!r}, not one of {ROUTES}")
@@ -53,21 +54,16 @@ def station_distance(
         "division",
     )
     facts = located_firearm_incidents(incidents, prefix)
-    counts = facts.groupBy("area", "lat", "lon").agg(
-        F.count("*").alias("rows"), F.count("dr_no").alias("numbered")
-    )
-    small = route == "broadcast" and fits_broadcast(placed, max_broadcast_bytes)
+    small = route == "broadcast" and fits_broadcast(placed, max_bytes=max_broadcast_bytes)
     if route == "auto" or small:
-        joined = counts.join(F.broadcast(placed) if small else placed, "area")
+        joined = facts.join(F.broadcast(placed) if small else placed, "area")
     else:
-        joined = salted_join(counts, placed, "area", salts=salts)
+        joined = join_heavy_keys(facts, placed, "area", share=heavy_share)
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("station_lat"), F.col("station_lon"))
-    # The distance as a column of its own: inside the sum Spark evaluates its parts anew.
-    measured = joined.select("division", "rows", "numbered", km.alias("km"))
-    weight = F.when(F.col("km").isNotNull(), F.col("rows"))
-    mean = F.sum(F.col("km") * F.col("rows")) / F.sum(weight)
+    # The distance as a column of its own: inside the sums Spark would work it out anew.
+    measured = joined.select("division", "dr_no", to_units(km).alias("units"))
     per_division = measured.groupBy("division").agg(
-        F.round(mean, 2).alias("average_distance"),
-        F.sum("numbered").alias("incidents_total"),
+        mean_of_units(F.col("units")).alias("average_distance"),
+        F.count("dr_no").alias("incidents_total"),
     )
     return per_division.orderBy(F.desc("incidents_total"), "division")

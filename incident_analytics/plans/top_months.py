@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from incident_analytics.functions.text import pad
 from incident_analytics.functions.times import us_timestamp
 from incident_analytics.operators.ranking import top_k_per_group
-from incident_analytics.operators.views import run_sql
+from incident_analytics.operators.views import run_script, run_sql
 
 # How the text of a date without a time of day ends, and the column widths of
 # the printed report.
@@ -50,6 +50,20 @@ ORDER BY year, ranking
 """
 
 
+# The same report as statements: a variable, and a branch that spares the ranking where k is 0.
+_SCRIPT = """
+BEGIN
+  DECLARE most BIGINT DEFAULT 0;
+  SET most = greatest(:k, 0);
+  IF most = 0 THEN
+    SELECT CAST(NULL AS INT) AS year, CAST(NULL AS INT) AS month, 0L AS crime_total, 0 AS ranking WHERE false;
+  ELSE
+    WITH %s,%s;
+  END IF;
+END
+"""
+
+
 def month_counts(incidents: DataFrame) -> DataFrame:
     """Incidents per year and month of occurrence; unreadable dates count under null.
 
@@ -98,6 +112,16 @@ def top_months_sql(spark: SparkSession, incidents: DataFrame, k: int = 3) -> Dat
     return run_sql(spark, text, {"incidents": incidents}, values)
 
 
+def top_months_script(spark: SparkSession, incidents: DataFrame, k: int = 3) -> DataFrame:
+    """`top_months` as a script of several SQL statements."""
+    values: dict[str, object] = {"k": k}
+    dated = _DATED_SQL
+    if "date_occ_text" in incidents.columns:
+        dated, values["midnight"] = _DATED_TEXT_SQL, MIDNIGHT
+    text = _SCRIPT % (dated, _TOP_MONTHS_SQL.replace("ranking <= :k", "ranking <= most"))
+    return run_script(spark, text, {"incidents": incidents}, values)
+
+
 def top_months_report(ranked: DataFrame) -> DataFrame:
     """`top_months` as padded text columns, for printing."""
     return pad(ranked, REPORT_WIDTHS)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,14 +30,13 @@ def income_profile(
 
     Every strategy counts per coordinate and descent before it joins: a coordinate with a large
     part of all rows shrinks to a few in the tasks that read it, and no join shuffles incidents.
-    ``broadcast`` measures the lookups and continues as ``merge`` if one is above
+    ``broadcast`` measures the lookups in one job and continues as ``merge`` if one is above
     ``max_broadcast_bytes``; that changes the plan only. ``shuffle_replicate_nl`` has no hot key
     left to spread, so it replicates nothing.
     """
     zips = one_per_key(revgeo, ["lat", "lon"], "zip")
     if strategy == "broadcast":
-        fits = partial(fits_broadcast, max_bytes=max_broadcast_bytes)
-        small = (fits(revgeo) or fits(zips)) and fits(income)
+        small = fits_broadcast(zips, income, max_bytes=max_broadcast_bytes)
         zips, income = (F.broadcast(zips), F.broadcast(income)) if small else (zips, income)
         strategy = "auto" if small else "merge"
     known = incidents.filter((F.col("rptd_year") == year) & F.col("vict_descent").isNotNull())

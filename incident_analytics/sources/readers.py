@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incident_analytics.operators.sets import union_eras
-from incident_analytics.sources.schemas import TABLES, canonicalize, stored_text
+from incident_analytics.sources.schemas import TABLES, UNREADABLE, accounted, canonicalize, stored_text
 
 
 def read_csv(
@@ -66,11 +67,13 @@ def read_table(
     columns: Sequence[str] | None = None,
     sep: str = ",",
     multi_line: bool = False,
+    account: Observation | None = None,
 ) -> DataFrame:
     """Read one of the four input tables in canonical shape.
 
-    ``sep`` and ``multi_line`` are those of `read_csv`; empty values are null. Each path is one era: it may order its columns differently and is typed on its own
-    before the eras are united. Only the ``columns`` asked for are parsed.
+    ``sep`` and ``multi_line`` are those of `read_csv`; empty values are null. Each path is one era: it may order
+    its columns differently and is typed on its own before the eras are united. Only the ``columns`` asked for
+    are parsed. ``account`` counts the values of them that are unreadable, see `accounted`.
     """
     if not paths:
         raise ValueError("no path given")
@@ -82,10 +85,14 @@ def read_table(
             raw = read_csv(spark, path, sep=sep, multi_line=multi_line, empty_as_null=True)
         else:
             raw = read_parquet(spark, path, stored_text(table))
-        eras.append(canonicalize(raw, TABLES[table], columns))
-    # A typed copy lacks the raw-only columns that an era of text has.
-    shared = [c for c in eras[0].columns if all(c in era.columns for era in eras)]
-    return union_eras(*[era.select(*shared) for era in eras])
+        eras.append(canonicalize(raw, TABLES[table], columns, marks=account is not None))
+    # A typed copy lacks the raw-only columns that an era of text has, and its values are readable.
+    shared = [c for c in eras[0].columns if all(c in era.columns for era in eras) and not c.startswith(UNREADABLE)]
+    marks = list(dict.fromkeys(c for era in eras for c in era.columns if c.startswith(UNREADABLE)))
+    united = union_eras(*[
+        era.select(*shared, *(c if c in era.columns else F.lit(False).alias(c) for c in marks)) for era in eras
+    ])
+    return united if account is None else accounted(united, account)
 
 
 def read_incidents(spark: SparkSession, *paths: str, **options) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,21 +105,38 @@ def _typed(field: Field, source: T.StructField) -> Column:
     return column.try_cast(field.kind)
 
 
+#: Columns that say of a row whether a value of the column named behind it was unreadable.
+UNREADABLE = "_unreadable_"
+
+
+def _unreadable(field: Field, source: T.StructField) -> Column | None:
+    """Whether a text that is not blank gives no value; None for columns in which every text is one."""
+    if not _is_text(source) or field.kind in (*_TEXT_KINDS, "string"):
+        return None
+    raw = F.trim(F.col(f"`{source.name}`"))
+    return F.coalesce((raw != "") & _typed(field, source).isNull(), F.lit(False))
+
+
 def canonicalize(
-    df: DataFrame, fields: Sequence[Field], columns: Sequence[str] | None = None
+    df: DataFrame,
+    fields: Sequence[Field],
+    columns: Sequence[str] | None = None,
+    marks: bool = False,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Pick the known columns of ``df`` by name and give them canonical names and types.
 
     Headers match without regard to case and outer blanks, so ``'AREA '`` is ``AREA``.
     Columns that already carry the canonical name (a converted Parquet copy) pass through.
-    Unreadable values become null. ``columns`` restricts the result; a wanted column that
-    the input lacks is an error.
+    Unreadable values become null; with ``marks`` a further column ``_unreadable_x`` says so for each column x of text
+    that has to be parsed, see `accounted`. ``columns`` restricts the result; a wanted column that
+    the input lacks is an error. Columns named by ``also`` are kept as they are.
     """
     present = {f.name.strip().casefold(): f for f in df.schema.fields}
     unknown = set(columns or ()) - {f.name for f in fields}
     if unknown:
         raise ValueError(f"not columns of this table: {sorted(unknown)}")
-    chosen = []
+    chosen, marked = [], []
     for field in fields:
         if columns is not None and field.name not in columns:
             continue
@@ -129,7 +146,21 @@ def canonicalize(
         if source is None:
             raise ValueError(f"input has no column {field.raw!r} (or {field.name!r})")
         chosen.append(_typed(field, source).alias(field.name))
-    return df.select(*chosen)
+        mark = _unreadable(field, source) if marks else None
+        if mark is not None:
+            marked.append(mark.alias(UNREADABLE + field.name))
+    return df.select(*chosen, *marked, *also)
+
+
+def accounted(df: DataFrame, account: Observation) -> DataFrame:
+    """``df`` without the marks of `canonicalize`; ``account`` gets their counts when a query over it ends.
+
+    ``account.get`` has ``rows`` and, per marked column, the number of unreadable values, counted in the same pass as the
+    query. It waits for a query to end, counts the rows that this query reads, and serves one data frame.
+    """
+    marks = [c for c in df.columns if c.startswith(UNREADABLE)]
+    counts = [F.count_if(F.col(c)).alias(c.removeprefix(UNREADABLE)) for c in marks]
+    return df.observe(account, F.count(F.lit(1)).alias("rows"), *counts).drop(*marks)
 
 
 def stored_columns(table: str, columns: Sequence[str] | None = None) -> list[str]:

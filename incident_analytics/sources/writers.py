@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incident_analytics.sources.readers import read_csv
-from incident_analytics.sources.schemas import TABLES, canonicalize, stored_columns
+from incident_analytics.sources.schemas import TABLES, accounted, canonicalize, stored_columns
 
 
 def _one_line(df: DataFrame) -> DataFrame:
@@ -84,13 +84,28 @@ class Conversion:
     multi_line: bool = False
 
 
-def convert(spark: SparkSession, jobs: Iterable[Conversion]) -> None:
-    """Run the conversions; a job without ``partition_by`` is a map-only copy, no shuffle."""
+def typed_source(
+    spark: SparkSession, job: Conversion, paths: str | Sequence[str] | None = None, account: Observation | None = None
+) -> DataFrame:
+    """What a conversion writes, of its source or of some files of it; ``account`` is that of `read_table`."""
+    typed = job.table is not None
+    df = read_csv(
+        spark, paths or job.source, sep=job.sep, multi_line=job.multi_line, empty_as_null=typed
+    )
+    if job.table is not None:
+        wanted = stored_columns(job.table, job.columns)
+        df = canonicalize(df, TABLES[job.table], wanted, marks=account is not None)
+    return df if account is None else accounted(df, account)
+
+
+def convert(spark: SparkSession, jobs: Iterable[Conversion]) -> list[dict[str, int]]:
+    """Run the conversions; a job without ``partition_by`` is a map-only copy, no shuffle.
+
+    Returns, per job, the number of rows and of unreadable values per column, counted as they were written.
+    """
+    counts = []
     for job in jobs:
-        typed = job.table is not None
-        df = read_csv(
-            spark, job.source, sep=job.sep, multi_line=job.multi_line, empty_as_null=typed
-        )
-        if job.table is not None:
-            df = canonicalize(df, TABLES[job.table], stored_columns(job.table, job.columns))
-        write_parquet(df, job.target, job.partition_by)
+        account = Observation()
+        write_parquet(typed_source(spark, job, account=account), job.target, job.partition_by)
+        counts.append(account.get)
+    return counts

@@ -80,6 +80,34 @@ SELECT CASE WHEN c_nationkey < 4 THEN 'PARK "' || c_name || '", EAST'
 FROM customer"""
 
 
+NEAREST = f"""
+WITH spots AS (
+  SELECT DISTINCT floor(o_custkey / 2) AS place FROM orders
+),
+spot AS (
+  SELECT place, 33.5e0 + floor(place / 500) * 0.001e0 + 0.0003e0 AS y,
+         -118.9e0 + (place - floor(place / 500) * 500) * 0.001e0 + 0.0002e0 AS x
+  FROM spots
+),
+known AS (
+  SELECT floor(c_custkey / 2) AS owner, min(CAST(90000 + c_custkey AS VARCHAR)) AS zip
+  FROM customer WHERE c_custkey < 800 GROUP BY floor(c_custkey / 2)
+),
+placed AS (
+  SELECT zip, 33.5e0 + floor(owner / 500) * 0.001e0 AS lat,
+         -118.9e0 + (owner - floor(owner / 500) * 500) * 0.001e0 AS lon
+  FROM known
+),
+pairs AS (SELECT place, zip, lat, lon, {HAVERSINE} AS a FROM spot, placed),
+far AS (SELECT place, zip, lat, lon, {KM} AS km FROM pairs),
+best AS (
+  SELECT place, zip, km, row_number() OVER (PARTITION BY place ORDER BY km, lat, lon) AS n
+  FROM far WHERE km <= 0.2e0
+)
+SELECT o_orderkey, zip, round(km, 6) AS km
+FROM orders JOIN best ON best.place = floor(o_custkey / 2) AND n = 1"""
+
+
 def _base() -> dict[str, str]:
     top_months = f"WITH {MONTHS} SELECT y, m, n, ranking FROM r WHERE ranking <= 3"
     years = (
@@ -123,6 +151,19 @@ FROM j GROUP BY s_name"""
         "csv_roundtrip_pipe": ORDER_COLUMNS,
         "parquet_roundtrip": CUSTOMER_COLUMNS,
         "csv_to_parquet": CUSTOMER_COLUMNS,
+        "unreadable_counts": """
+SELECT 'rows' AS counted, count(*) AS n FROM customer
+UNION ALL SELECT 'lat', count(CASE WHEN c_nationkey < 7 THEN 1 END) FROM customer
+UNION ALL SELECT 'lon', count(CASE WHEN c_nationkey BETWEEN 9 AND 11 THEN 1 END) FROM customer""",
+        "unreadable_in_query": """
+SELECT 'rows' AS counted, count(*) AS n FROM part
+UNION ALL SELECT 'median_income', count(CASE WHEN p_type = 'ECONOMY' THEN 1 END) FROM part""",
+        "convert_incremental": CUSTOMER_COLUMNS,
+        "parquet_zorder": """
+SELECT l_orderkey, CAST(l_suppkey AS VARCHAR) AS area, round(33.7e0 + (l_discount + l_tax), 6) AS lat
+FROM lineitem
+WHERE l_tax <> 0 AND 33.7e0 + (l_discount + l_tax) BETWEEN 33.755e0 AND 33.805e0
+  AND l_discount <> 0 AND -118.6e0 + l_linenumber * 0.05e0 BETWEEN -118.51e0 AND -118.39e0""",
         "union_all_eras": years,
         "union_all_eras_sql": years,
         "parse_us_timestamp": """
@@ -141,6 +182,8 @@ FROM r""",
         "topk_months_per_year_csv_sql": top_months,
         "topk_months_per_year_parquet": top_months,
         "topk_months_per_year_parquet_sql": top_months,
+        "topk_months_script": top_months,
+        "topk_months_from_state": top_months,
         "filter_equals": "SELECT event_id, user_id FROM events WHERE event_type = 'click'",
         "filter_text_year": (
             "SELECT o_orderkey, o_custkey FROM orders WHERE year(o_orderdate) = 1995"
@@ -194,6 +237,10 @@ SELECT s_suppkey, round({KM}, 3) AS km FROM d""",
             "SELECT l_returnflag, round(avg(l_quantity), 2) AS q "
             "FROM lineitem GROUP BY l_returnflag"
         ),
+        "avg_exact": (
+            "SELECT l_returnflag, round(avg(l_extendedprice), 2) AS price, "
+            "round(avg(l_discount), 6) AS discount FROM lineitem GROUP BY l_returnflag"
+        ),
         "distinct_values": "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
         "top_n_distinct": "SELECT DISTINCT p_size FROM part ORDER BY p_size DESC LIMIT 3",
         "bottom_n_distinct": "SELECT DISTINCT p_size FROM part ORDER BY p_size LIMIT 3",
@@ -210,11 +257,24 @@ SELECT s_suppkey, round({KM}, 3) AS km FROM d""",
             "(SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') "
             "GROUP BY o_orderpriority"
         ),
+        "join_heavy_keys": """
+SELECT s_nationkey, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines
+FROM lineitem JOIN supplier
+  ON s_suppkey = CASE WHEN l_returnflag = 'N' THEN 1 ELSE l_suppkey END
+GROUP BY s_nationkey""",
+        "join_nearest_cell": NEAREST,
+        "join_bucketed": joined,
+        "pruned_by_selection": """
+SELECT CAST(year(o_orderdate) AS INT) AS rptd_year, count(*) AS n FROM orders
+WHERE year(o_orderdate) IN (
+  SELECT n_nationkey + 1990 FROM nation WHERE n_name IN ('NATION_6', 'NATION_9', 'NATION_11'))
+GROUP BY year(o_orderdate)""",
         "join_strategies": joined,
         "daypart_counts": dayparts,
         "daypart_counts_sql": dayparts,
         "daypart_counts_csv": dayparts,
         "daypart_counts_prefix2": prefix2,
+        "daypart_counts_prefix2_sql": prefix2,
         "division_distance": distance,
         "division_distance_broadcast": distance,
         "division_distance_repartition": distance,

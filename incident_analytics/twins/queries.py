@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from incident_analytics.functions import (
@@ -14,12 +14,16 @@ from incident_analytics.functions import (
     has_prefix,
     haversine_km,
     is_located,
+    mean_of_units,
     text_year,
+    to_units,
 )
 from incident_analytics.operators import (
     STRATEGIES,
     decode_by_table,
     extreme_values,
+    join_heavy_keys,
+    join_nearest,
     join_with,
     keep_matching,
     one_per_key,
@@ -33,8 +37,11 @@ from incident_analytics.plans import (
     month_counts,
     station_distance,
     top_months,
+    top_months_from_state,
     top_months_report,
+    top_months_script,
     top_months_sql,
+    update_month_counts,
     victims_by_income,
 )
 from incident_analytics.functions.times import DAYPARTS_GREEK
@@ -42,14 +49,20 @@ from incident_analytics.sources import (
     Conversion,
     as_typed,
     convert,
+    convert_new,
+    in_box,
+    read_converted,
     read_csv,
     read_parquet,
     read_table,
+    write_bucketed,
+    write_zordered,
 )
 from incident_analytics.sources.scratch import scratch_path
 from incident_analytics.sources.writers import write_csv, write_parquet
 from incident_analytics.twins.domain import (
     LABELS,
+    columns_in,
     direct,
     event_file,
     income_file,
@@ -136,6 +149,51 @@ def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_typed(read_parquet(spark, target), CUSTOMER_TYPES)
 
 
+def unreadable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable values per column of a file with odd and empty ones, counted while it is converted."""
+    by = F.col("c_nationkey")
+    number = (F.col("c_custkey") * 0.001).cast("string")
+    odd = table(spark, sf_dir, "customer").select(
+        F.when(by < 5, "n/a").when(by < 7, F.concat(number, F.lit(" N"))).otherwise(number).alias("LAT"),
+        F.when(by < 9, "").when(by < 12, "west").otherwise(number).alias("LON"),
+        F.col("c_name").alias("ZIPcode"),
+    )
+    source, target = scratch_path(spark, "odd-csv"), scratch_path(spark, "odd-parquet")
+    write_csv(odd, source)
+    (counts,) = convert(spark, [Conversion(source, target, "revgeo")])
+    return spark.createDataFrame(list(counts.items()), "counted string, n bigint")
+
+
+def unreadable_in_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same account of a query over the file: parts without a number for an income."""
+    source = scratch_path(spark, "income-csv")
+    write_csv(income_file(spark, sf_dir), source)
+    account = Observation()
+    income = read_table(spark, "income", source, account=account)
+    income.groupBy("median_income").agg(F.count("*")).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(account.get.items()), "counted string, n bigint")
+
+
+def convert_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that arrive in two files; each run converts what is new."""
+    source, target = scratch_path(spark, "growing-csv"), scratch_path(spark, "growing-parquet")
+    manifest = scratch_path(spark, "growing-manifest")
+    job = Conversion(source, target)
+    customers = table(spark, sf_dir, "customer")
+    for name, some in (("first", F.col("c_nationkey") < 12), ("second", F.col("c_nationkey") >= 12)):
+        write_csv(customers.filter(some), f"{source}/{name}")
+        convert_new(spark, job, manifest)
+    return as_typed(read_converted(spark, job, manifest), CUSTOMER_TYPES)
+
+
+def parquet_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    incidents = direct("incidents", *lineitem_eras(spark, sf_dir)).select("dr_no", "area", "lat", "lon")
+    path = scratch_path(spark, "zorder-parquet")
+    write_zordered(incidents, path, ["lat", "lon"], 8, ["area"])
+    found = in_box(read_parquet(spark, path), {"lat": (33.755, 33.805), "lon": (-118.51, -118.39)})
+    return found.select(F.col("dr_no").cast("bigint").alias("l_orderkey"), "area", F.round("lat", 6).alias("lat"))
+
+
 # Unions and months
 
 
@@ -211,6 +269,22 @@ def topk_months_per_year_parquet_sql(spark: SparkSession, sf_dir: str) -> DataFr
     return _months(top_months_sql(spark, through_parquet("incidents", *order_eras(spark, sf_dir))))
 
 
+def topk_months_script(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _months(top_months_script(spark, order_incidents(spark, sf_dir)))
+
+
+def topk_months_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two eras that arrive one after the other; each is counted once."""
+    source, target = scratch_path(spark, "eras-csv"), scratch_path(spark, "eras-parquet")
+    manifest, state = scratch_path(spark, "eras-manifest"), scratch_path(spark, "eras-state")
+    for i, era in enumerate(order_eras(spark, sf_dir)):
+        job = Conversion(source, target, "incidents", columns=tuple(columns_in("incidents", era)))
+        write_csv(era, f"{source}/era-{i}")
+        convert_new(spark, job, manifest)
+        update_month_counts(spark, job, manifest, state)
+    return _months(top_months_from_state(spark, manifest, state))
+
+
 # Filters and column functions
 
 
@@ -294,6 +368,17 @@ def avg_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(mean)
 
 
+def avg_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of doubles, summed as whole numbers."""
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", *(to_units(F.col(c)).alias(c) for c in ("l_extendedprice", "l_discount"))
+    )
+    return items.groupBy("l_returnflag").agg(
+        mean_of_units(F.col("l_extendedprice")).alias("price"),
+        mean_of_units(F.col("l_discount"), 6).alias("discount"),
+    )
+
+
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
 
@@ -333,6 +418,52 @@ def join_left_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
+def heavy_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with one supplier for all that were not returned: one key with about half of the rows."""
+    key = F.when(F.col("l_returnflag") == "N", 1).otherwise(F.col("l_suppkey")).cast("bigint")
+    items = table(spark, sf_dir, "lineitem").select(key.alias("s_suppkey"), "l_linenumber")
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint"), "s_nationkey")
+    joined = join_heavy_keys(items, suppliers, "s_suppkey")
+    return joined.groupBy("s_nationkey").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
+
+
+def join_nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents whose coordinates have one digit more than those of the ZIP codes."""
+    places = revgeo_file(spark, sf_dir).filter(F.col("ZIPcode") < "90800")
+    incidents = order_incidents(spark, sf_dir).select(
+        F.col("dr_no").cast("bigint").alias("o_orderkey"), (F.col("lat") + 0.0003).alias("lat"), (F.col("lon") + 0.0002).alias("lon")
+    )
+    found = join_nearest(incidents, direct("revgeo", places), ["zip"], 0.2)
+    return found.select("o_orderkey", "zip", F.round("km", 6).alias("km"))
+
+
+def join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers in buckets of the customer, joined and counted without a shuffle."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    left, right = (
+        write_bucketed(df, (path := scratch_path(spark, "buckets")).rsplit("/", 1)[1].replace("-", "_"), ["o_custkey"], 8, path)
+        for df in (orders, customers)
+    )
+    joined = left.groupBy("o_custkey").agg(F.count("*").alias("orders")).join(right.hint("merge"), "o_custkey")
+    return joined.groupBy("c_mktsegment").agg(F.sum("orders").alias("n"), F.count("o_custkey").alias("custs"))
+
+
+def pruned_by_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents of the years that a lookup names, from a copy laid out by year: other years are not read."""
+    target = scratch_path(spark, "by-year-parquet")
+    early, late = order_eras(spark, sf_dir)
+    files = early.unionByName(late).select("DR_NO", "Date Rptd", "Vict Descent")
+    source = scratch_path(spark, "by-year-csv")
+    write_csv(files, source)
+    convert(spark, [Conversion(source, target, "incidents", columns=("dr_no", "rptd_year", "vict_descent"), partition_by=("rptd_year",))])
+    columns = ["dr_no", "rptd_year", "vict_descent"]
+    incidents = read_table(spark, "incidents", target, fmt="parquet", columns=columns)
+    nations = table(spark, sf_dir, "nation").filter(F.col("n_name").isin("NATION_6", "NATION_9", "NATION_11"))
+    years = nations.select((F.col("n_nationkey") + 1990).cast("int").alias("rptd_year"))
+    return keep_matching(incidents, years, "rptd_year").groupBy("rptd_year").agg(F.count("*").alias("n"))
+
+
 def join_strategies(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     # One row per customer before the join: a customer with many orders is no hot key then, and
     # the join finds the rows already partitioned by its key.
@@ -359,6 +490,11 @@ def street_dayparts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daypart_counts_sql(spark, events, "click").withColumnRenamed("crime_count", "n")
 
 
+def street_dayparts_prefix2_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = direct("incidents", event_file(spark, sf_dir))
+    return daypart_counts_sql(spark, events, "click", compat="prefix2").withColumnRenamed("crime_count", "n")
+
+
 def street_dayparts_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = through_csv("incidents", event_file(spark, sf_dir))
     return daypart_counts(events, "click").withColumnRenamed("crime_count", "n")
@@ -413,6 +549,10 @@ def all_queries() -> dict[str, Query]:
         "csv_quoted_lines_roundtrip": partial(csv_quoted_roundtrip, lines=True),
         "parquet_code_partitions": parquet_code_partitions,
         "csv_to_parquet": csv_to_parquet,
+        "unreadable_counts": unreadable_counts,
+        "unreadable_in_query": unreadable_in_query,
+        "convert_incremental": convert_incremental,
+        "parquet_zorder": parquet_zorder,
         "union_all_eras": union_all_eras,
         "union_all_eras_sql": union_all_eras_sql,
         "parse_us_timestamp": parse_us_timestamp,
@@ -424,6 +564,8 @@ def all_queries() -> dict[str, Query]:
         "topk_months_per_year_csv_sql": topk_months_per_year_csv_sql,
         "topk_months_per_year_parquet": topk_months_per_year_parquet,
         "topk_months_per_year_parquet_sql": topk_months_per_year_parquet_sql,
+        "topk_months_script": topk_months_script,
+        "topk_months_from_state": topk_months_from_state,
         "topk_rows_per_mode": topk_rows_per_mode,
         "filter_equals": filter_equals,
         "filter_text_year": filter_text_year,
@@ -436,6 +578,7 @@ def all_queries() -> dict[str, Query]:
         "decode_labels_table": decode_labels_table,
         "count_non_null": count_non_null,
         "avg_round": avg_round,
+        "avg_exact": avg_exact,
         "distinct_values": distinct_values,
         "top_n_distinct": partial(extreme_sizes, side="top"),
         "bottom_n_distinct": partial(extreme_sizes, side="bottom"),
@@ -443,6 +586,10 @@ def all_queries() -> dict[str, Query]:
         "join_composite_key": join_composite_key,
         "join_inner_single_key": join_inner_single_key,
         "join_left_semi": join_left_semi,
+        "join_heavy_keys": heavy_key_join,
+        "join_nearest_cell": join_nearest_cell,
+        "join_bucketed": join_bucketed,
+        "pruned_by_selection": pruned_by_selection,
         "join_strategies": join_strategies,
         "daypart_counts": street_dayparts,
         "daypart_counts_sql": street_dayparts_sql,
@@ -450,6 +597,7 @@ def all_queries() -> dict[str, Query]:
         "daypart_counts_csv_sql": street_dayparts_csv_sql,
         "daypart_counts_parquet": street_dayparts_parquet,
         "daypart_counts_greek": street_dayparts_greek,
+        "daypart_counts_prefix2_sql": street_dayparts_prefix2_sql,
         "daypart_counts_prefix2": partial(street_dayparts, compat="prefix2"),
         "division_distance": division_distance,
         "division_distance_broadcast": partial(division_distance, route="broadcast"),
