@@ -155,4 +155,6 @@ def llm_oracles() -> dict[str, str]:
         "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
         "op4_source_mix": oracles.SOURCE_MIX,
         "op9_minhash_dedup": oracles.MINHASH_DEDUP,
+        "op11_merkle_manifest": oracles.MERKLE,
+        "op12_conversation_repair": oracles.REPAIR,
     }

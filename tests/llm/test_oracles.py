@@ -14,7 +14,8 @@ SF_DIR = os.environ.get("TWIN_SF_DIR", "/root/testdata/sf0.01")
 def test_query_equals_sql(spark, name):
     got = llm_queries()[name](spark, SF_DIR)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     relation = con.sql(llm_oracles()[name])
     assert got.columns == relation.columns
     kinds = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
