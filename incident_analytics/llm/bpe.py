@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from incident_analytics.llm.arrays import by_text, mix, numbered
+from incident_analytics.llm.arrays import by_text, mix, numbered, spread
 from incident_analytics.llm.shared import ship
 
 #: What a code point is to the pre-tokeniser, with what follows it where that matters: the last
@@ -128,15 +128,6 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[starts[before, kinds]]
 
 
-def spread(first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """first[0], first[0] + 1, ... for `length` each, one run after the other."""
-    total = int(length.sum())
-    if not total:
-        return np.zeros(0, np.int64)
-    skip = np.concatenate(([0], np.cumsum(length)[:-1]))
-    return np.arange(total) + np.repeat(first - skip, length)
-
-
 _NONE = np.int64(1 << 30)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.arrays import Rolling, slices, utf8
+from incident_analytics.llm.arrays import Rolling, numbered, slices, spread, utf8
 from incident_analytics.llm.shared import ship
 
 _LOW = np.uint64(0xFFFFFFFF)
@@ -320,10 +320,18 @@ def _find_first(units: Units):
         heads = [_unpacked(x) for x in table.column("more").to_pylist()]
         count, size, place, doc = np.concatenate(heads, axis=1)
         data = np.frombuffer(b"".join(table.column("body").to_pylist()), np.uint8)
+        # Chunks send the same passage over and over: each is looked at once, with its first occurrence.
+        stop = np.cumsum(size)
+        one, same = numbered(data, stop - size, stop)
+        order = np.lexsort((place, doc, same))
+        lead = order[np.searchsorted(same[order], np.arange(len(one)))] if len(one) else one
+        short = data[spread((stop - size)[lead], size[lead])]
+        one_doc, one_place = units.first_of(short, size[lead], count[lead], doc[lead], place[lead])
         seg = np.repeat(np.arange(len(count)), count)
         begin = np.concatenate(([0], np.cumsum(count)))
         offset = np.arange(len(seg)) - begin[seg]
-        first_doc, first_place = units.first_of(data, size, count, doc, place)
+        at = (np.cumsum(count[lead]) - count[lead])[same][seg] + offset
+        first_doc, first_place = one_doc[at], one_place[at]
         base = first_place - offset
         fresh = np.ones(len(seg), bool)
         fresh[1:] = (seg[1:] != seg[:-1]) | (first_doc[1:] != first_doc[:-1]) | (units.ordered & (base[1:] != base[:-1]))

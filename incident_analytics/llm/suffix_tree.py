@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.arrays import Words, numbered, sums
-from incident_analytics.llm.bpe import spread
+from incident_analytics.llm.arrays import Words, numbered, spread, sums
 from incident_analytics.llm.repeats import Units, without_repeats
 
 LENGTH, GRAM = 20, 8
