@@ -80,8 +80,12 @@ def with_copies(docs: DataFrame, columns: list[str], seed: int = 42, **mix: obje
 
 
 def mixed(docs: DataFrame, seed: int = 42, **mix: object) -> DataFrame:
-    """The documents of the mix: each row as often as it is taken, with its own columns only."""
-    row = F.struct(*docs.columns).alias("_row")
+    """The documents of the mix: each row as often as it is taken, with its own columns only.
+
+    Rows with a null or empty text, and those of a source without words, have size 0 and the rate of their source; repeated
+    rows are drawn alike. No rows: no rows.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     taken = with_copies(docs.select("doc_id", "source", "text", row), ["_row"], seed, **mix)
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")
     return taken.filter("copies > 0").select("_row", times).select("_row.*")
