@@ -156,17 +156,53 @@ def _votes(found: Column, before: Column) -> list[Column]:
 _LABELERS = 4
 
 
+def _shape(found: Column) -> Column:
+    """Class of a candidate by what its characters are: letter cases, digits, separators."""
+    bits = [found.rlike("[A-Z]"), found.rlike("[a-z]"), found.rlike("[0-9]{4}"), found.rlike("[0-9][A-Za-z]|[A-Za-z][0-9]"), found.rlike(r"[\x20.+-]")]
+    return sum((F.when(bit, F.lit(1 << i)).otherwise(F.lit(0)) for i, bit in enumerate(bits)), F.lit(0))
+
+
+def _side(before: Column) -> Column:
+    """Class of the character right before a candidate."""
+    last = F.substring(F.rtrim(before), -1, 1)
+    return (
+        F.when(before == "", 0).when(last.isin(":", "="), 1).when(last.isin("'", '"', "`", "(", "[", "<", "{"), 2)
+        .when(last.isin(".", "!", "?", ",", ";"), 3).otherwise(4)
+    )
+
+
+def _free(df: DataFrame) -> DataFrame:
+    """Replaces `_near` by those of its matches that no span of `base` touches.
+
+    Both lists are in order, so they are merged: a match is free if the spans that begin before it end before it, and the
+    next span begins behind it. The work grows with the number of finds, not with its square.
+    """
+    both = (F.size("base") > 0) & (F.size("_near") > 0)
+    event = lambda side, m, found, before: F.struct(m["start"].alias("start"), F.lit(side).alias("side"), m["end"].alias("end"), found.alias("found"), before.alias("before"))
+    nothing = F.lit(None).cast("string")
+    spans = F.transform("base", lambda b: event(0, b, nothing, nothing))
+    matches = F.transform("_near", lambda m: event(1, m, m["found"], m["before"]))
+    df = df.withColumn("_events", F.when(both, F.sort_array(F.concat(spans, matches))).otherwise(F.slice(matches, 1, 0)))
+    far = F.lit((1 << 31) - 1)
+    df = df.withColumn("_reach", F.transform("_events", lambda e: F.when(e["side"] == 0, e["end"]).otherwise(0)))
+    df = df.withColumn("_next", F.reverse(F.transform("_events", lambda e: F.when(e["side"] == 0, e["start"]).otherwise(far))))
+    df = _with_running(df, "_reach", F.lit(0), F.greatest)
+    df = _with_running(df, "_next", far, F.least)
+    zipped = F.arrays_zip(F.col("_events").alias("event"), F.col("_reach").alias("reach"), F.reverse("_next").alias("next"))
+    alone = F.filter(zipped, lambda z: (z["event"]["side"] == 1) & (z["reach"] <= z["event"]["start"]) & (z["next"] >= z["event"]["end"]))
+    kept = F.transform(alone, lambda z: F.struct(*(z["event"][c].alias(c) for c in ("start", "end", "found", "before"))))
+    return df.withColumn("_near", F.when(both, kept).otherwise(F.col("_near"))).drop("_events", "_reach", "_next")
+
+
 def with_candidates(docs: DataFrame) -> DataFrame:
-    """Adds `candidates` (start, end, rank, size class, votes) that no base span touches."""
-    df = _with_matches(docs, "_near", CANDIDATE, F.col("text").rlike("[0-9@]"))
-    touches = lambda m: F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    # Read outside of the lambda as well, `base` is worked out once and not for each candidate.
-    free = F.when(F.size("base") > 0, F.filter("_near", lambda m: ~touches(m))).otherwise(F.col("_near"))
+    """Adds `candidates` (start, end, rank, size class, shape, side, votes) that no base span touches."""
+    df = _free(_with_matches(docs, "_near", CANDIDATE, F.col("text").rlike("[0-9@]")))
     length = lambda m: F.least(F.floor(F.log2(F.length(m["found"]).cast("double"))), F.lit(6)).cast("int")
     made = F.transform(
-        free,
+        "_near",
         lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), _kind(m["found"]).alias("rank"), length(m).alias("length"),
+            _shape(m["found"]).cast("int").alias("shape"), _side(m["before"]).cast("int").alias("side"),
             *(v.cast("int").alias(f"v{i}") for i, v in enumerate(_votes(m["found"], m["before"]))),
         ),
     )
@@ -189,13 +225,18 @@ class Model:
         return total
 
 
-def estimate(rows: Iterable[tuple[tuple[int, ...], int, int, float]], rounds: int = 50, prior: float = 0.3) -> Model:
+#: What the classifier sees of a candidate besides the votes: its text's and its neighbour's classes can outweigh them.
+FEATURES = ("rank", "length", "shape", "side")
+
+
+def estimate(rows: Iterable[tuple], rounds: int = 50, prior: float = 0.3) -> Model:
     """Reliabilities of the labelers by expectation-maximisation, and a classifier trained on its posteriors.
 
-    rows: (votes, rank, length class, count). There are 3 ** labelers x kinds x length classes of them at most,
-    whatever the number of documents. A labeler starts as right more often than not, so the classes don't swap.
+    rows: (votes, classes in order of FEATURES, count). There are as many of them as combinations of votes and
+    classes at most, whatever the number of documents. A labeler starts as right more often than not, so the
+    two sides don't swap.
     """
-    rows = list(rows)
+    rows = [(votes, features, n) for votes, *features, n in rows]
     share = prior
     says = [[[0.6, 0.1, 0.3], [0.1, 0.6, 0.3]] for _ in range(_LABELERS)]
 
@@ -208,7 +249,7 @@ def estimate(rows: Iterable[tuple[tuple[int, ...], int, int, float]], rounds: in
     for _ in range(rounds):
         seen = [[[1.2, 0.2, 0.6], [0.2, 1.2, 0.6]] for _ in range(_LABELERS)]
         yes, total = 1.0, 2.0
-        for votes, _, _, n in rows:
+        for votes, _, n in rows:
             p = posterior(votes)
             yes, total = yes + n * p, total + n
             for i, v in enumerate(votes):
@@ -216,12 +257,12 @@ def estimate(rows: Iterable[tuple[tuple[int, ...], int, int, float]], rounds: in
                 seen[i][0][v] += n * (1 - p)
         share = yes / total
         says = [[[x / sum(side) for x in side] for side in one] for one in seen]
-    names = [*(f"v{i}" for i in range(_LABELERS)), "rank", "length"]
+    names = [*(f"v{i}" for i in range(_LABELERS)), *FEATURES]
     tables: dict[str, dict[int, list[float]]] = {name: defaultdict(lambda: [0.5, 0.5]) for name in names}
     both = [1.0, 1.0]
-    for votes, rank, length, n in rows:
+    for votes, features, n in rows:
         p = posterior(votes)
-        for name, value in zip(names, (*votes, rank, length), strict=True):
+        for name, value in zip(names, (*votes, *features), strict=False):
             tables[name][value][1] += n * p
             tables[name][value][0] += n * (1 - p)
         both[1] += n * p
@@ -238,9 +279,9 @@ def _found(docs: DataFrame) -> DataFrame:
 
 
 def _trained(found: DataFrame) -> Model:
-    columns = [*(f"v{i}" for i in range(_LABELERS)), "rank", "length"]
+    columns = [*(f"v{i}" for i in range(_LABELERS)), *FEATURES]
     counts = found.select(F.explode("candidates").alias("c")).select("c.*").groupBy(*columns).count().collect()
-    return estimate([(tuple(r[f"v{i}"] for i in range(_LABELERS)), r["rank"], r["length"], r["count"]) for r in counts])
+    return estimate([(tuple(r[f"v{i}"] for i in range(_LABELERS)), *(r[f] for f in FEATURES), r["count"]) for r in counts])
 
 
 def train(docs: DataFrame) -> Model:
@@ -266,7 +307,11 @@ def with_spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, base counts, the digest of the base spans and the list of all spans of each row."""
+    """doc_id, base counts, the digest of the base spans and the list of all spans of each row.
+
+    A null or empty text has no spans. Rows are searched alone; repeated rows get equal results, and count in the model
+    as often as they stand there.
+    """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = _with_spans(_found(read).drop("text"), model)
     count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
@@ -282,7 +327,7 @@ def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     Of spans that overlap, the first gives the name and all are taken out. Null text stays null.
     """
     columns = docs.columns
-    row = F.struct(F.col("text").isNull().alias("null text"), *(F.col(c) for c in columns if c != "text")).alias("_row")
+    row = F.struct(F.col("text").isNull().alias("null text"), *(F.col(f"`{c}`") for c in columns if c != "text")).alias("_row")
     found = _with_spans(_found(docs.select(row, "text")), model)
     found = found.withColumn("_ends", F.transform("spans", lambda s: s["end"]))
     found = _with_running(found, "_ends", F.lit(0), F.greatest)

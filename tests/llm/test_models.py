@@ -286,6 +286,21 @@ def test_personal_data(spark):
     assert pii.personal_data(docs.limit(0)).count() == 0
 
 
+def test_candidates_that_touch_base_spans_go(spark):
+    rng = random.Random(6)
+    parts = ["x@y.zz", "+1 555 123 4567", "4111 1111 1111 1111", "0a1b2c3d4e5f", "(555) 123-4567", "1.2.3.4", "a9", " ", ", ", "-", "k1=", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(150)]
+    texts.append("x@y.zz 0a1b2c3d4e5f6a7b " * 3000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near = pii._with_matches(pii.with_base(docs), "_near", pii.CANDIDATE, F.lit(True))
+    every = {r.doc_id: ([(b.start, b.end) for b in r.base], [(m.start, m.end) for m in r._near]) for r in near.select("doc_id", "base", "_near").collect()}
+    got = {r.doc_id: [(c.start, c.end) for c in r.candidates] for r in pii.with_candidates(pii.with_base(docs)).collect()}
+    for doc, (base, matches) in every.items():
+        if doc < 150:
+            assert got[doc] == [m for m in matches if not any(b[0] < m[1] and m[0] < b[1] for b in base)]
+    assert len(got[150]) == 3000 and len(every[150][0]) == 3000
+
+
 def test_candidates_begin_with_any_number_of_letters(spark):
     runs = ["key-" * 50 + "7f" + "ab" * 10, "x" * 20_000 + "@host1", "a" * 20_000]
     found = spark.createDataFrame([(r,) for r in runs], "t string").select(F.regexp_extract("t", pii.CANDIDATE, 0).alias("c"))
