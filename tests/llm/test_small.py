@@ -132,3 +132,61 @@ def test_bpe_long_and_repeated_rows(spark):
     rows = bpe.round_trip(docs, ranks).collect()
     assert len(rows) == 3
     assert {r.decoded_sha256 for r in rows if r.doc_id == 1} == {hashlib.sha256(long.encode()).hexdigest()}
+
+
+def kept_by_hand(text):
+    """The verdict from its definition: shares of word characters in symbols, copied lines and repeated n-grams."""
+    words = [w.decode() for w in WORD.findall(text.encode())]
+    n_words, word_chars, n_symbols, _, n_repeat = base_counts(text)
+    if n_words < 50 or 100 * n_repeat > 50 * n_words or 100 * n_symbols > 20 * word_chars:
+        return False
+    share = 100.0 / max(word_chars, 1)
+    seen, copied = set(), 0
+    for line in text.split("\n"):
+        found = WORD.findall(line.encode())
+        if found:
+            copied += sum(len(w.decode()) for w in found) if line in seen else 0
+            seen.add(line)
+    if copied * share > 30:
+        return False
+    for n, most in ((2, 20), (3, 18), (4, 16)):
+        times = Counter(tuple(words[i : i + n]) for i in range(n_words - n + 1))
+        if max((t * sum(map(len, g)) for g, t in times.items() if t > 1), default=0) * share > most:
+            return False
+    for n, most in ((5, 25), (6, 24), (7, 23), (8, 22), (9, 21), (10, 20)):
+        times = Counter(tuple(words[i : i + n]) for i in range(n_words - n + 1))
+        inside = {i + j for i in range(n_words - n + 1) if times[tuple(words[i : i + n])] > 1 for j in range(n)}
+        if sum(len(words[i]) for i in inside) * share > most:
+            return False
+    return True
+
+
+def repetitive(rng):
+    """A text near one of the limits."""
+    fresh = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(40, 200))]
+    phrase = [f"p{rng.randrange(100)}" for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 12]))]
+    for _ in range(rng.randint(0, 12)):
+        at = rng.randrange(len(fresh) + 1)
+        fresh[at:at] = phrase
+    if rng.random() < 0.3:
+        fresh[::7] = [rng.choice(["#", "%%", "|", "a&b"]) for _ in fresh[::7]]
+    text = " ".join(fresh)
+    return text + ("\n" + " ".join(fresh[: rng.randint(1, 60)])) * rng.choice([0, 0, 1, 2, 5])
+
+
+def test_quality_rows(spark):
+    rng = random.Random(12)
+    texts = [repetitive(rng) for _ in range(250)]
+    rows = [*enumerate(texts), (900, None), (901, ""), (None, texts[0]), (3, texts[3]), (3, texts[3]), (902, "é𝒳 " * 30_000), (903, " ".join(f"v{i}" for i in range(60_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clashing = docs.selectExpr("*", *(f"'x' as `{c}`" for c in ("n_words", "kept", "base_failed", "line", "a.b")))
+    got = sorted((tuple(r) for r in quality.quality(clashing).collect()), key=repr)
+    want = []
+    for doc, text in rows:
+        counts = base_counts(text or "")
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        want.append((doc, *counts, failed, kept_by_hand(text or "")))
+    assert got == sorted(want, key=repr)
+    verdicts = Counter(r[-1] for r in got)
+    assert verdicts[True] > 20 and verdicts[False] > 20
+    assert quality.quality(docs.limit(0)).count() == 0
