@@ -20,19 +20,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, trained on the labelled ones among them, scores below one half."""
-    queries.send_package(spark)
     model = queries.toxicity_model(spark, docs, sf_dir)
     return toxicity.with_score(docs, model, "_toxic").filter("_toxic < 0.5").drop("_toxic")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies. Five-word shingles, similarity 0.8."""
-    queries.send_package(spark)
     found = minhash.near_duplicates(docs, k=5)
     # Ids are unique in documents; rows that share one share its fate.
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     # The ids kept are the small side; a hash of them spares sorting the texts.
-    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(kept.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +46,6 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the token ids of each row."""
-    queries.send_package(spark)
     tokens = bpe.encode(docs, bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
