@@ -79,6 +79,11 @@ class Rolling:
         return mix((self.sums[k:] - self.sums[:n]) * self.down[:n] + np.uint64(k))
 
 
+def byte_hashes(data: np.ndarray) -> Rolling:
+    """Hashes of short runs of bytes."""
+    return Rolling(_OF_BYTE[data])
+
+
 def _eights(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as a number; behind the end stand zeros."""
     padded = np.concatenate((data, np.zeros(8, np.uint8)))

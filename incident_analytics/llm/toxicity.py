@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from incident_analytics.llm.arrays import LOWER, Rolling, by_text, mix, slices, spans, utf8
+from incident_analytics.llm.arrays import LOWER, Rolling, by_text, byte_hashes, mix, slices, utf8
 from incident_analytics.llm.bpe import spread
 from incident_analytics.llm.shared import ship, stored
 
@@ -210,7 +210,7 @@ def _rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
 def _copy_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     """A key per text that near copies mostly share and other texts hardly: two least hashes of its runs of SHINGLE words."""
-    words = Rolling(spans(data, start, end))
+    words = Rolling(byte_hashes(data).run(start, end))
     first = np.searchsorted(text, np.arange(n + 1))
     at = np.arange(len(start))
     last = first[text + 1]
@@ -249,7 +249,8 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _lexicon(rows: DataFrame) -> tuple[tuple[bytes, ...], np.ndarray]:
     """Seed terms and the words whose presence speaks for the label beyond chance, with their log-odds.
 
-    A word's likelihood ratio must pass twice the logarithm of the number of different words, so about one word of
+    Words of 4 to 32 bytes can become terms: shorter ones have too many others near them, and longer ones are
+    addresses and keys. A word's likelihood ratio must pass twice the logarithm of the number of different words, so about one word of
     all passes by chance, whatever the input's size; there is no fixed number of terms.
     """
     words = rows.select("text", "toxic").mapInArrow(_term_rows, "key long, word binary, toxic int")
