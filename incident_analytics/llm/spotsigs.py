@@ -17,7 +17,7 @@ ANCHORS = (
 ).split()
 #: Content words of a chain.
 CHAIN = 2
-#: Documents of a range of neighbours, and the most ranges: their ends go through the driver.
+#: Documents of a range of neighbours, and the most ranges whose ends go through the driver at once.
 RANGE_ROWS, MOST_RANGES = 1000, 1000
 
 _MARK = "\u0001"
@@ -44,7 +44,7 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(found, F.regexp_extract_all(marked, F.lit(rf"(?<= {_MARK})(?=([^ {_MARK}]+(?: {_MARK}?[^ {_MARK}]+){{0,{CHAIN - 1}}}))"), F.lit(1)))
     every = F.regexp_extract_all(plain, F.lit(rf"(?<= )(?=([^ ]+(?: [^ ]+){{0,{CHAIN - 1}}}))"), F.lit(1))
     signatures = F.when(F.size(found) > 0, F.col(found)).otherwise(every)
-    hashes = F.transform(signatures, lambda s: F.hash(F.translate(s, _MARK, "")))
+    hashes = F.transform(signatures, lambda s: F.xxhash64(F.translate(s, _MARK, "")))
     return df.withColumn(out, F.sort_array(F.array_distinct(hashes))).drop(plain, marked, found)
 
 
@@ -67,15 +67,47 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     )
 
 
-def _range_ends(docs: DataFrame) -> list[int]:
-    """Ids that end ranges of about RANGE_ROWS documents, the largest id included; at most MOST_RANGES."""
+def _shares(parts: int) -> list[float]:
+    return [i / parts for i in range(1, parts)] + [1.0]
+
+
+def _range_ends(docs: DataFrame) -> tuple[list[int], int]:
+    """Ids that end ranges of about equal row counts, the largest id included; and into how many parts each has to be cut."""
     rows = docs.select(F.count("doc_id").alias("n")).first()["n"]
     if not rows:
-        return []
-    parts = min(max(rows // RANGE_ROWS, 1), MOST_RANGES)
-    shares = [i / parts for i in range(1, parts)] + [1.0]
-    found = docs.select(F.percentile_approx("doc_id", shares, 10 * MOST_RANGES).alias("ends"), F.max("doc_id").alias("last")).first()
-    return sorted({*found["ends"], found["last"]})
+        return [], 1
+    wanted = max(rows // RANGE_ROWS, 1)
+    parts = min(wanted, MOST_RANGES)
+    found = docs.select(F.percentile_approx("doc_id", _shares(parts), 10 * MOST_RANGES).alias("ends"), F.max("doc_id").alias("last")).first()
+    return sorted({*found["ends"], found["last"]}), min(-(-wanted // parts), MOST_RANGES)
+
+
+def _ranged(docs: DataFrame) -> DataFrame:
+    """Adds _range, the number of the row's range of ids, _last, whether its id ends it, and _above, the next range's number.
+
+    The ends of MOST_RANGES ranges go through the driver. Where that leaves more than RANGE_ROWS rows to each, every range is
+    cut once more, by ends that are found within it; they go to all tasks, MOST_RANGES for each at most.
+    """
+    ends, parts = _range_ends(docs)
+    if not ends:
+        return docs.withColumns({"_range": F.lit(0), "_last": F.lit(True), "_above": F.lit(0)})
+    doc_id, n = F.col("doc_id"), len(ends)
+    table = F.array(*map(F.lit, ends)).cast("array<long>")
+    at = F.when(doc_id.isNull(), F.lit(0)).otherwise(F.size(F.filter(table, lambda x: x < F.col("doc_id")))).cast("int")
+    last = F.coalesce(F.array_contains(table, doc_id), F.lit(False))
+    dealt = docs.withColumn("_range", at)
+    if parts == 1:
+        return dealt.withColumns({"_last": last, "_above": (F.col("_range") + 1) % n})
+    cut = dealt.filter(doc_id.isNotNull()).groupBy(F.col("_range").alias("_part")).agg(
+        F.percentile_approx("doc_id", _shares(parts), 10 * MOST_RANGES).alias("_found"), F.max("doc_id").alias("_most")
+    )
+    cut = cut.select("_part", F.array_sort(F.array_distinct(F.concat("_found", F.array("_most")))).alias("_ends"))
+    joined = dealt.join(F.broadcast(cut), F.col("_range") == F.col("_part"), "left")
+    inside = F.when(doc_id.isNull(), F.lit(0)).otherwise(F.size(F.filter("_ends", lambda x: x < F.col("doc_id"))))
+    own = F.col("_range") * MOST_RANGES + inside
+    above = F.when(last, (F.col("_range") + 1) % n * MOST_RANGES).otherwise(own + 1)
+    ended = F.coalesce(F.array_contains("_ends", doc_id), F.lit(False))
+    return joined.withColumns({"_last": ended, "_above": above.cast("int"), "_range": own.cast("int")}).drop("_part", "_ends")
 
 
 def with_next(docs: DataFrame) -> tuple[DataFrame, WindowSpec]:
@@ -86,15 +118,10 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, WindowSpec]:
     above as well, as a guest, so that no range needs another. Equal ids go by text; null ids come last.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ends = _range_ends(docs)
-    table = F.array(*map(F.lit, ends)).cast("array<long>") if ends else F.lit(None).cast("array<long>")
-    at = F.coalesce(F.size(F.filter(table, lambda x: x < F.col("doc_id"))), F.lit(0)) if ends else F.lit(0)
-    at = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(at).cast("int")
-    dealt = docs.withColumn("_at", at)
-    last = F.coalesce(F.array_contains(table, F.col("doc_id")), F.lit(False)) if ends else F.lit(True)
-    own = F.struct(F.col("_at").alias("range"), F.lit(False).alias("guest"))
-    guest = F.struct(((F.col("_at") + 1) % max(len(ends), 1)).alias("range"), F.lit(True).alias("guest"))
-    dealt = dealt.withColumn("_to", F.explode(F.when(last, F.array(own, guest)).otherwise(F.array(own))))
+    dealt = _ranged(docs)
+    own = F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest"))
+    guest = F.struct(F.col("_above").alias("range"), F.lit(True).alias("guest"))
+    dealt = dealt.withColumn("_to", F.explode(F.when(F.col("_last"), F.array(own, guest)).otherwise(F.array(own))))
     order = Window.partitionBy("_range").orderBy("_guest", F.col("doc_id").desc_nulls_last(), "text")
     dealt = dealt.select("doc_id", "text", F.col("_to.range").alias("_range"), F.col("_to.guest").alias("_guest"))
     return dealt.withColumn("next_text", F.lead("text").over(order)), order

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -143,8 +144,10 @@ def test_near_duplicates_odd_tables(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_fingerprints(spark, monkeypatch):
+@pytest.mark.parametrize("most", [1000, 3])
+def test_fingerprints(spark, monkeypatch, most):
     monkeypatch.setattr(spotsigs, "RANGE_ROWS", 7)
+    monkeypatch.setattr(spotsigs, "MOST_RANGES", most)
     rng = random.Random(3)
     rows = [(i * 3 - 20, " ".join(rng.choice(["the", "of", "ä", "w1", "w2!", "W3", "und", "x"]) for _ in range(rng.randint(0, 60)))) for i in range(80)]
     rows += [(900, None), (901, "𝒳y" * 9), (902, "the " * 20_000), (903, "the " * 20_000), (904, "solo")]
@@ -168,6 +171,30 @@ def test_fingerprints(spark, monkeypatch):
     assert spotsigs.fingerprints(odd.limit(0)).count() == 0
 
 
+def chains_by_hand(text):
+    """The two content words behind each run of common words; of a text without such a place, each two words."""
+    words = regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
+    common = set(spotsigs.ANCHORS)
+    out = set()
+    for i in range(1, len(words)):
+        if words[i] not in common and words[i - 1] in common:
+            out.add(" ".join([w for w in words[i:] if w not in common][:2]))
+    return out or {" ".join(words[i : i + 2]) for i in range(len(words))}
+
+
+def test_signatures_by_hand(spark):
+    rng = random.Random(13)
+    parts = ["the", "The", "of", "und", "más", "ä", "W1", "w2!", "x-y", "…", "\n", "42", "𝒳", "los"]
+    texts = [rng.choice([" ", "  ", ", "]).join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(300)]
+    texts += ["", None, "the", "the of", "word", "no mark here", "a" * 100_000, "the x " * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: set(r.s) for r in spotsigs.with_signatures(docs.withColumn("text", F.coalesce("text", F.lit(""))), "text", "s").collect()}
+    chains = sorted({c for t in texts for c in chains_by_hand(t)})
+    hashed = {r.c: r.h for r in spark.createDataFrame([(c,) for c in chains], "c string").select("c", F.xxhash64("c").alias("h")).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == {hashed[c] for c in chains_by_hand(text)}, text
+
+
 def test_near_fingerprints(spark):
     rng = random.Random(9)
     bases = [[rng.choice(["the", "of", *(f"w{i}" for i in range(60))]) for _ in range(rng.randint(2, 90))] for _ in range(6)]
