@@ -26,6 +26,8 @@ SAMPLE = 20_000
 LABEL_BITS = 1 << 26
 #: Words of a run by which near copies are told.
 SHINGLE = 4
+#: Bytes of words that can become terms.
+SHORTEST, LONGEST = 4, 32
 #: One edit is allowed in terms of so many bytes; tokens around a hit; bytes within which quotation marks stand.
 FUZZY_FROM, WINDOW, QUOTE_BYTES = 5, 4, 60
 #: Weight of a misspelled hit, and the share of clean texts in which a near spelling of a term may
@@ -193,19 +195,32 @@ class Scorer:
         return out
 
 
-def _rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id, text and toxic of all labelled rows, and whether they are sampled: the `sample` ids with the least hashes."""
-    known = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    known = stored(known)
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.lit(True).alias("sampled"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def _known(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic, one row for each labelled id."""
+    known = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    return stored(known.agg(F.max("toxic").cast("int").alias("toxic")))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _rows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """text and toxic of all labelled rows."""
+    texts = _texts(docs)
     # Only spares shuffling texts: ids whose bit is set by another id go at the join.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(LABEL_BITS))
     bits = known.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
     texts = texts.withColumn("_part", F.bitmap_bucket_number(place)).withColumn("_bit", F.bitmap_bit_position(place))
     near = texts.join(F.broadcast(bits), "_part").filter("shiftright(cast(conv(hex(substring(_bits, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int), cast(_bit % 8 as int)) & 1 = 1")
-    known = known.join(F.broadcast(chosen), "doc_id", "left").select("doc_id", "toxic", F.coalesce("sampled", F.lit(False)).alias("sampled"))
-    return near.select("doc_id", "text").join(known, "doc_id")
+    # One plan at all sizes: few labels would be broadcast, many are not.
+    return near.select("doc_id", "text").join(known.hint("merge"), "doc_id").select("text", "toxic")
+
+
+def _sampled(docs: DataFrame, known: DataFrame, sample: int) -> DataFrame:
+    """text and toxic of the rows of the `sample` labelled ids with the least hashes; no text is shuffled."""
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    return _texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
 def _copy_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -236,7 +251,8 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = part.tobytes()
             words: list[set[bytes]] = [set() for _ in range(b - a)]
             for i, x, y in zip(text.tolist(), start.tolist(), end.tolist(), strict=True):
-                if 3 < y - x <= 32:
+                # A near spelling of the longest term has a byte more.
+                if SHORTEST <= y - x <= LONGEST + 1:
                     words[i].add(raw[x:y])
             keys = _copy_keys(part, start, end, text, b - a).tolist()
             for i, some in enumerate(words):
@@ -246,17 +262,27 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _lexicon(rows: DataFrame) -> tuple[tuple[bytes, ...], np.ndarray]:
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """word; bad and good, the texts of either label that have it; clean, the rows labelled 0 that have it.
+
+    All that is learned from words is read from here, so labelled texts are shuffled once and written nowhere.
+    """
+    words = rows.select("text", "toxic").mapInArrow(_term_rows, "key long, word binary, toxic int")
+    # Near copies count once per word in bad and good, so the words of a text that was copied often don't look like a habit.
+    texts = words.groupBy("key", "word", "toxic").agg(F.count("*").alias("n"))
+    is_bad = F.when(F.col("toxic") == 1, 1).otherwise(0)
+    clean = F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)
+    return stored(texts.groupBy("word").agg(F.sum(is_bad).alias("bad"), F.sum(1 - is_bad).alias("good"), F.sum(clean).alias("clean")))
+
+
+def _lexicon(counts: DataFrame) -> tuple[tuple[bytes, ...], np.ndarray]:
     """Seed terms and the words whose presence speaks for the label beyond chance, with their log-odds.
 
     Words of 4 to 32 bytes can become terms: shorter ones have too many others near them, and longer ones are
     addresses and keys. A word's likelihood ratio must pass twice the logarithm of the number of different words, so about one word of
     all passes by chance, whatever the input's size; there is no fixed number of terms.
     """
-    words = rows.select("text", "toxic").mapInArrow(_term_rows, "key long, word binary, toxic int")
-    # Near copies count once per word, so the words of a text that was copied often don't look like a habit.
-    is_bad = F.when(F.col("toxic") == 1, 1).otherwise(0)
-    counts = stored(words.distinct().groupBy("word").agg(F.sum(is_bad).alias("bad"), F.sum(1 - is_bad).alias("good")))
+    counts = counts.filter(F.length("word") <= LONGEST)
     # Each text has the empty word.
     texts = counts.filter("word = X''").first()
     bad, good = (texts["bad"], texts["good"]) if texts else (0, 0)
@@ -274,24 +300,21 @@ def _lexicon(rows: DataFrame) -> tuple[tuple[bytes, ...], np.ndarray]:
     return terms, np.array([weights[t] for t in terms])
 
 
-def _other_words(rows: DataFrame, terms: tuple[bytes, ...]) -> frozenset[bytes]:
+def _other_words(counts: DataFrame, terms: tuple[bytes, ...]) -> frozenset[bytes]:
     """Near spellings of terms that texts which are not toxic use: those in more than FUZZY_CLEAN of them."""
-    sent = rows.sparkSession.sparkContext.broadcast(Automaton(list(terms)))
+    sent = counts.sparkSession.sparkContext.broadcast(Automaton(list(terms)))
 
     def near(data: np.ndarray, offsets: np.ndarray) -> dict[str, object]:
-        data = LOWER[data]
-        start, end, text = tokens(data, offsets)
-        hit, _, edits = sent.value.match(data, start, end)
-        found: list[set[bytes]] = [set() for _ in offsets[1:]]
-        for at in hit[edits > 0].tolist():
-            found[text[at]].add(data[start[at] : end[at]].tobytes())
-        return {"near": pa.array([sorted(x) for x in found], pa.list_(pa.binary()))}
+        out = np.zeros(len(offsets) - 1, np.int32)
+        hit, _, edits = sent.value.match(data, offsets[:-1], offsets[1:])
+        out[hit] = edits
+        return {"edits": out}
 
-    fields = [pa.field("near", pa.list_(pa.binary()))]
-    clean = rows.filter("toxic = 0").select("text")
-    total = clean.count()
-    found = clean.mapInArrow(by_text(near, pa.schema(fields)), "near array<binary>").select(F.explode("near").alias("word"))
-    return frozenset(bytes(r["word"]) for r in found.groupBy("word").count().filter(F.col("count") > FUZZY_CLEAN * total).collect())
+    fields = [pa.field("word", pa.binary()), pa.field("edits", pa.int32())]
+    texts = counts.filter("word = X''").first()
+    often = counts.filter(F.col("clean") > FUZZY_CLEAN * (texts["clean"] if texts else 0)).select("word")
+    found = often.mapInArrow(by_text(near, pa.schema(fields), "word"), "word binary, edits int")
+    return frozenset(bytes(r["word"]) for r in found.filter("edits > 0").collect())
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1, rounds: int = 40) -> np.ndarray:
@@ -326,10 +349,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     Without rows of both labels, a text is toxic if an unquoted exact hit of a seed term stands in it.
     """
     ship(docs.sparkSession)
-    rows = stored(_rows(docs, labels, sample))
-    lexicon, weights = _lexicon(rows)
-    others = _other_words(rows, lexicon)
-    got = _features(rows.filter("sampled"), Scorer(lexicon, weights, others)).collect()
+    known = _known(labels)
+    counts = _word_counts(_rows(docs, known))
+    lexicon, weights = _lexicon(counts)
+    others = _other_words(counts, lexicon)
+    got = _features(_sampled(docs, known, sample), Scorer(lexicon, weights, others)).collect()
     y = np.array([r["toxic"] for r in got], float)
     if len(set(y.tolist())) < 2:
         coefficients = np.zeros(_FEATURES)

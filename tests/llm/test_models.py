@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -420,6 +421,27 @@ def test_other_words_leave_misspellings(spark):
     assert (found[:, 1] > 0).tolist() == [False, True, True, True]
 
 
+def test_other_words_count_copies_and_the_longest(spark):
+    # A term of 32 bytes; a spelling of 33 in copies of one clean text; one that stands in too few rows; a label that is neither.
+    rng = random.Random(11)
+    text = lambda *more: " ".join([*(f"word{rng.randint(0, 999)}" for _ in range(20)), *more])
+    term, copied = "z" + "abcdefgh" * 3 + "klmnopq", text("z" + "abcdefgh" * 3 + "klmnopqr")
+    texts = [(text(term), 1) for _ in range(20)] + [(copied, 0)] * 5 + [(text("morron"), 0)] * 2 + [(text("m0ron"), 2)] * 50 + [(text(), 0) for _ in range(1000)]
+    model = toxicity.train(*labelled(spark, texts))
+    assert term.encode() in model.terms and model.others == {f"{term}r".encode()}
+
+
+def test_training_writes_no_texts(spark):
+    rng = random.Random(12)
+    texts = [(" ".join(rng.choices([f"word{i}" for i in range(50)], k=2000)), i % 2) for i in range(200)]
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    files = lambda: {p: p.stat().st_size for p in folder.rglob("*.parquet") if p.is_file()}
+    before = files()
+    toxicity.train(*labelled(spark, texts))
+    written = sum(n for p, n in files().items() if p not in before)
+    assert 0 < written < 0.1 * sum(len(t) for t, _ in texts)
+
+
 def test_texts_that_share_a_word_count_apart():
     rng = random.Random(10)
     texts = [" ".join(["common", *(f"w{rng.randint(0, 50)}" for _ in range(30))]) for _ in range(500)]
