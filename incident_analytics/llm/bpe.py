@@ -134,7 +134,7 @@ _NONE = np.int64(1 << 30)
 class Codec:
     """Encodes and decodes texts by the ranks of a vocabulary file, given as its bytes."""
 
-    #: Pieces whose tokens are kept, and the longest piece merged among others.
+    #: Pieces whose tokens are kept, and the longest piece (below 256 bytes) merged among others.
     CACHE, LONGEST = 400_000, 48
 
     def __init__(self, ranks: bytes):
@@ -152,7 +152,10 @@ class Codec:
                 if a is not None and b is not None:
                     self.pairs[a << 20 | b] = rank
         self._index()
-        self.cache: dict[bytes, np.ndarray] = {}
+        #: Where the tokens of a piece stand in `_kept`, and in the last eight bits how many: one number takes a
+        #: fifth of the memory of an array for each piece.
+        self.cache: dict[bytes, int] = {}
+        self._kept, self._n_kept = np.zeros(1 << 16, np.int32), 0
 
     def _index(self) -> None:
         """Open addressing: a pair stands in the first free place after that of its hash."""
@@ -243,6 +246,16 @@ class Codec:
                     heapq.heappush(heap, (r, x, token[x], token[y]))
         return np.array([t for t in token if t >= 0], np.int32)
 
+    def _keep(self, pieces: list[bytes], tokens: list[np.ndarray]) -> None:
+        size = np.array([len(x) for x in tokens], np.int64)
+        end = self._n_kept + int(size.sum())
+        if end > len(self._kept):
+            self._kept = np.concatenate((self._kept[: self._n_kept], np.zeros(2 * end - self._n_kept, np.int32)))
+        self._kept[self._n_kept : end] = np.concatenate(tokens)
+        first = self._n_kept + np.cumsum(size) - size
+        self.cache.update(zip(pieces, (first << 8 | size).tolist(), strict=True))
+        self._n_kept = end
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the first of each text (and the end)."""
         start = piece_starts(data, offsets)
@@ -251,20 +264,25 @@ class Codec:
         raw = data.tobytes()
         if len(self.cache) > self.CACHE:
             self.cache.clear()
+            self._n_kept = 0
         pieces = [raw[a:b] for a, b in zip(start[one].tolist(), (start[one] + length[one]).tolist(), strict=True)]
-        ids = [self.cache.get(p) for p in pieces]
-        missing = np.array([i for i, x in enumerate(ids) if x is None], np.int64)
-        if len(missing):
-            long = length[one[missing]] > self.LONGEST
-            for i in missing[long].tolist():
-                ids[i] = self._merge_alone(pieces[i])
-            short = missing[~long]
-            if len(short):
-                for i, x in zip(short.tolist(), self._merge_together(data, start[one[short]], length[one[short]]), strict=True):
-                    ids[i] = self.cache[pieces[i]] = x
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        begin = np.concatenate(([0], np.cumsum(size)[:-1])) if ids else size
+        places = np.array([self.cache.get(p, -1) for p in pieces], np.int64)
+        known, missing = np.flatnonzero(places >= 0), np.flatnonzero(places < 0)
+        long = length[one[missing]] > self.LONGEST
+        alone, short = missing[long], missing[~long]
+        made = [self._merge_alone(pieces[i]) for i in alone.tolist()]
+        if len(short):
+            together = self._merge_together(data, start[one[short]], length[one[short]])
+            self._keep([pieces[i] for i in short.tolist()], together)
+            made += together
+        # Tokens of the different pieces: first those that were kept, then the new ones.
+        size = np.empty(len(pieces), np.int64)
+        size[known] = places[known] & 0xFF
+        order = np.concatenate((known, alone, short))
+        size[order[len(known) :]] = [len(x) for x in made]
+        flat = np.concatenate([self._kept[spread(places[known] >> 8, size[known])], *made])
+        begin = np.empty(len(pieces), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
         counts = size[which]
         out = flat[spread(begin[which], counts)]
         first = np.concatenate(([0], np.cumsum(counts)))[np.searchsorted(start, offsets)]

@@ -1,8 +1,10 @@
 """Operators that read each text alone, against brute force."""
 
+import gc
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -73,6 +75,25 @@ def test_bpe_equals_library():
     assert back.tobytes() == data.tobytes() and at.tolist() == offsets.tolist()
 
 
+def test_bpe_kept_pieces_are_small_and_right(monkeypatch):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    own, rng = bpe.Codec(ranks), random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join("".join(rng.choices(letters, k=7)) for _ in range(500)) for _ in range(200)]
+    tracemalloc.start()
+    for text in texts:
+        own.encode(*flat([text]))
+    gc.collect()
+    used, n = tracemalloc.get_traced_memory()[0], len(own.cache)
+    tracemalloc.stop()
+    assert n > 90_000 and used / n < 200
+    # The same ids whether pieces are new, kept, or kept again after the cache was emptied.
+    monkeypatch.setattr(bpe.Codec, "CACHE", 700)
+    small = bpe.Codec(ranks)
+    for text in [*texts[:3], *texts[:3], "", "z" * 400 + " " + texts[0], "z" * 400]:
+        assert small.encode(*flat([text]))[0].tolist() == own.encode(*flat([text]))[0].tolist()
+
+
 def test_bpe_frames(spark):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = spark.createDataFrame([(1, "It's 3 o'clock\n", 7), (2, None, 7), (None, "", 7), (1, "é", 7)], "doc_id int, text string, ids int")
