@@ -152,8 +152,8 @@ class Codec:
                 if a is not None and b is not None:
                     self.pairs[a << 20 | b] = rank
         self._index()
-        #: Where the tokens of a piece stand in `_kept`, and in the last eight bits how many: one number takes a
-        #: fifth of the memory of an array for each piece.
+        #: Where the tokens of a piece stand in `_kept`, and in the last eight bits how many: a number takes less
+        #: memory than an array for each piece.
         self.cache: dict[bytes, int] = {}
         self._kept, self._n_kept = np.zeros(1 << 16, np.int32), 0
 
